@@ -1,0 +1,198 @@
+"""Schemaless Avro for flat records, one Arrow batch at a time.
+
+Used where Spark runs without its Avro module. The column is decoded field by field with one cursor per
+row, so the work is array arithmetic rather than a loop over records.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+
+# Fixed value: a 64-bit varint takes at most ten bytes.
+_MAX_VARINT = 10
+
+
+class _Cursor:
+    """Positions in the payloads of a batch; ``ok`` drops rows whose bytes run out or make no sense."""
+
+    def __init__(self, column: pa.Array):
+        column = column.cast(pa.large_binary())
+        offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)
+        offsets = offsets[column.offset : column.offset + len(column) + 1]
+        data = column.buffers()[2]
+        raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
+        # Room to read a whole double or varint past the end; such rows are dropped afterwards.
+        self.data = np.concatenate([raw, np.zeros(16, np.uint8)])
+        self.pos = offsets[:-1].copy()
+        self.end = offsets[1:]
+        self.ok = ~np.asarray(column.is_null())
+
+    def advance(self, active: np.ndarray, count) -> None:
+        self.pos = np.where(active, self.pos + count, self.pos)
+        self.ok &= self.pos <= self.end
+
+    def varint(self, active: np.ndarray) -> np.ndarray:
+        value = np.zeros(len(self.pos), np.uint64)
+        open_ = active & self.ok
+        for index in range(_MAX_VARINT):
+            if not open_.any():
+                break
+            byte = self.data[np.where(open_, self.pos, len(self.data) - 1)]
+            part = (byte & 0x7F).astype(np.uint64) << np.uint64(7 * index)
+            value = np.where(open_, value | part, value)
+            self.advance(open_, 1)
+            open_ = open_ & (byte >= 0x80) & self.ok
+        self.ok &= ~open_
+        return (value >> np.uint64(1)).astype(np.int64) ^ -(value & np.uint64(1)).astype(np.int64)
+
+    def double(self, active: np.ndarray) -> np.ndarray:
+        read = active & self.ok & (self.pos + 8 <= self.end)
+        self.ok &= read | ~active
+        start = np.where(read, self.pos, len(self.data) - 8)
+        value = self.data[start[:, None] + np.arange(8)].copy().view("<f8").ravel()
+        self.advance(read, 8)
+        return value
+
+    def boolean(self, active: np.ndarray) -> np.ndarray:
+        read = active & self.ok & (self.pos < self.end)
+        self.ok &= read | ~active
+        byte = self.data[np.where(read, self.pos, len(self.data) - 1)]
+        self.advance(read, 1)
+        return byte == 1
+
+    def string(self, active: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        length = self.varint(active)
+        fits = (length >= 0) & (length <= self.end - self.pos)
+        self.ok &= fits | ~active
+        length = np.where(active & self.ok, length, 0)
+        start = self.pos.copy()
+        self.advance(active & self.ok, length)
+        return start, length
+
+
+def _gather(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Bytes ``start .. start + length`` of every row, one after the other."""
+    ends = np.cumsum(length)
+    inside = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - length, length)
+    return data[np.repeat(start, length) + inside]
+
+
+def decode(column: pa.Array, fields: list[tuple[str, str, bool]], strict: bool) -> pa.StructArray:
+    """Records of a binary column; a payload that is not a record gives a struct of NULLs.
+
+    ``strict`` also refuses bytes after the record.
+    """
+    cursor = _Cursor(column)
+    everyone = np.ones(len(column), bool)
+    found = []
+    for _, kind, nullable in fields:
+        active = everyone
+        if nullable:
+            branch = cursor.varint(everyone)
+            cursor.ok &= (branch == 0) | (branch == 1)
+            active = branch == 1
+        if kind == "string":
+            value = cursor.string(active)
+        elif kind == "double":
+            value = cursor.double(active)
+        elif kind == "boolean":
+            value = cursor.boolean(active)
+        else:
+            value = cursor.varint(active)
+        found.append((active, value))
+    if strict:
+        cursor.ok &= cursor.pos == cursor.end
+
+    arrays = []
+    for (_, kind, _), (active, value) in zip(fields, found, strict=True):
+        missing = ~(cursor.ok & active)
+        if kind == "string":
+            start, length = value
+            length = np.where(missing, 0, length)
+            body = _gather(cursor.data, start, length)
+            offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
+            text = pa.LargeStringArray.from_buffers(
+                len(column), pa.py_buffer(offsets), pa.py_buffer(body), _validity(missing)
+            )
+            arrays.append(text.cast(pa.string()))
+        elif kind == "timestamp-millis":
+            micros = np.where(missing, 0, value) * 1000
+            arrays.append(pa.array(micros, mask=missing).cast(pa.timestamp("us", tz="UTC")))
+        else:
+            arrays.append(pa.array(value, mask=missing))
+    return pa.StructArray.from_arrays(arrays, names=[name for name, _, _ in fields])
+
+
+def _validity(missing: np.ndarray) -> pa.Buffer:
+    return pa.py_buffer(np.packbits(~missing, bitorder="little"))
+
+
+def _varint_bytes(value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Zigzag varints as a ``(rows, 10)`` byte matrix and their lengths."""
+    zigzag = ((value << 1) ^ (value >> 63)).astype(np.uint64)
+    shifts = np.arange(_MAX_VARINT, dtype=np.uint64) * np.uint64(7)
+    groups = (zigzag[:, None] >> shifts) & np.uint64(0x7F)
+    length = np.maximum(_MAX_VARINT - np.argmax(groups[:, ::-1] != 0, axis=1), 1)
+    length = np.where(zigzag == 0, 1, length)
+    more = np.arange(_MAX_VARINT) < (length - 1)[:, None]
+    return (groups.astype(np.uint8) | (more.astype(np.uint8) << 7)), length
+
+
+def encode(record: pa.StructArray, fields: list[tuple[str, str, bool]]) -> pa.Array:
+    """Schemaless record of every row; NULL where a required field is NULL."""
+    rows = len(record)
+    valid = ~np.asarray(record.is_null())
+    pieces: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def add_matrix(matrix: np.ndarray, length: np.ndarray) -> None:
+        start = np.arange(rows, dtype=np.int64) * matrix.shape[1]
+        pieces.append((np.ascontiguousarray(matrix).ravel(), start, length.astype(np.int64)))
+
+    for index, (_, kind, nullable) in enumerate(fields):
+        values = record.field(index)
+        missing = np.asarray(values.is_null())
+        if nullable:
+            add_matrix(np.where(missing, 0, 2).astype(np.uint8)[:, None], np.ones(rows, np.int64))
+        else:
+            valid &= ~missing
+        present = ~missing
+        if kind == "string":
+            text = values.cast(pa.large_binary())
+            offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + rows + 1]
+            body = text.buffers()[2]
+            raw = np.frombuffer(body, np.uint8) if body is not None else np.zeros(0, np.uint8)
+            length = np.where(present, np.diff(offsets), 0)
+            matrix, varint_length = _varint_bytes(length)
+            add_matrix(matrix, np.where(present, varint_length, 0))
+            pieces.append((raw, offsets[:-1], length))
+        elif kind == "double":
+            numbers = np.asarray(values.fill_null(0.0), dtype="<f8")
+            add_matrix(numbers.view(np.uint8).reshape(rows, 8), np.where(present, 8, 0))
+        elif kind == "boolean":
+            flags = np.asarray(values.fill_null(False)).astype(np.uint8)
+            add_matrix(flags[:, None], np.where(present, 1, 0))
+        else:
+            if kind == "timestamp-millis":
+                values = values.cast(pa.timestamp("us", tz="UTC")).cast(pa.int64())
+                numbers = np.asarray(values.fill_null(0), dtype=np.int64) // 1000
+            else:
+                numbers = np.asarray(values.fill_null(0), dtype=np.int64)
+            matrix, varint_length = _varint_bytes(numbers)
+            add_matrix(matrix, np.where(present, varint_length, 0))
+
+    lengths = np.stack([length for _, _, length in pieces])
+    row_length = lengths.sum(axis=0)
+    row_start = np.cumsum(row_length) - row_length
+    out = np.zeros(int(row_length.sum()), np.uint8)
+    at = row_start.copy()
+    for raw, start, length in pieces:
+        target_ends = np.cumsum(length)
+        inside = np.arange(int(target_ends[-1]) if rows else 0) - np.repeat(target_ends - length, length)
+        out[np.repeat(at, length) + inside] = raw[np.repeat(start, length) + inside]
+        at = at + length
+    offsets = np.concatenate([row_start, [len(out)]]).astype(np.int64)
+    payload = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), rows, [_validity(~valid), pa.py_buffer(offsets), pa.py_buffer(out)]
+    )
+    return payload.cast(pa.binary())
