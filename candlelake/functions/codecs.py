@@ -41,7 +41,7 @@ def has_avro_module(spark: SparkSession) -> bool:
 
 
 def _complete(record: Column, contract: str) -> Column:
-    """The record if every required field is there, otherwise NULL.
+    """Whether every required field is there.
 
     A permissive decoder answers garbage with a struct of NULLs, which is not itself NULL.
     """
@@ -49,12 +49,15 @@ def _complete(record: Column, contract: str) -> Column:
     for name, _, nullable in contract_fields(contract):
         if not nullable:
             complete = complete & record[name].isNotNull()
-    return F.when(complete, record)
+    return complete
 
 
 def decode_json(payload: Column, contract: str = CANDLE_CONTRACT) -> Column:
-    """JSON message to the contract struct, times being epoch milliseconds."""
-    wire = F.from_json(payload.cast("string"), wire_schema(contract), {"mode": "PERMISSIVE"})
+    """JSON message to its wire struct, times being epoch milliseconds."""
+    return F.from_json(payload.cast("string"), wire_schema(contract), {"mode": "PERMISSIVE"})
+
+
+def wire_to_record(wire: Column, contract: str = CANDLE_CONTRACT) -> Column:
     fields = []
     for name, kind, _ in contract_fields(contract):
         field = wire[name]
@@ -95,13 +98,19 @@ def decode_payload(
     """Add the decoded record, NULL where the payload is not a complete one."""
     payload = strip_header(value_column) if confluent_header else F.col(value_column)
     if codec == "json":
-        record = decode_json(payload, contract)
+        wire, convert = decode_json(payload, contract), wire_to_record
     elif codec == "avro":
-        record = decode_avro(frame.sparkSession, payload, contract, strict)
+        wire, convert = decode_avro(frame.sparkSession, payload, contract, strict), lambda record, _: record
     else:
         raise ValueError(f"unknown codec: {codec}")
-    decoded = frame.withColumn(output_column, record)
-    return decoded.withColumn(output_column, _complete(F.col(output_column), contract))
+    # As the output of a generator the decoded struct is computed once per row. As a plain column it would
+    # be decoded again in every filter on its fields, which the optimizer moves below the decoding.
+    wired = frame.withColumn("_wire", wire).select(
+        *[name for name in frame.columns if name != output_column],
+        F.explode_outer(F.array("_wire")).alias(output_column),
+    )
+    decoded = F.col(output_column)
+    return wired.withColumn(output_column, F.when(_complete(decoded, contract), convert(decoded, contract)))
 
 
 def encode_payload(

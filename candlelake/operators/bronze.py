@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candlelake.operators.scan import first_by
 from candlelake.schema import ENVELOPE_COLUMNS
 
 # Fixed value: reason written next to a rejected envelope.
@@ -35,18 +36,20 @@ def calendar_columns(frame: DataFrame, time: str = "open_time") -> DataFrame:
 def deduplicate(
     frame: DataFrame, keys: Sequence[str], *, spread_column: str | None = None, within_watermark: bool = False
 ) -> DataFrame:
-    """One row per key, the first seen in a stream.
+    """One row per key: in a stream the first seen, in a batch the first ingested.
 
     With ``spread_column`` a stream first drops copies within each value of that column and then
     across them, so one event with very many copies is not the work of one task. A batch needs no such
-    step: its aggregation drops copies before the shuffle.
+    step: each task drops its copies before the shuffle. Rows of a batch ingested at the same time are
+    told apart by their content, so a recomputed task picks the same one.
     """
+    if not frame.isStreaming:
+        rest = [name for name in frame.columns if name not in (*keys, "ingested_at")]
+        return first_by(frame, keys, [F.col(name) for name in ("ingested_at", *rest)])
     drop = DataFrame.dropDuplicatesWithinWatermark if within_watermark else DataFrame.dropDuplicates
     if spread_column is not None:
-        if frame.isStreaming:
-            frame = drop(frame, [*keys, spread_column])
-        frame = frame.drop(spread_column)
-    return drop(frame, list(keys)) if frame.isStreaming else frame.dropDuplicates(list(keys))
+        frame = drop(frame, [*keys, spread_column]).drop(spread_column)
+    return drop(frame, list(keys))
 
 
 def build_bronze_valid(

@@ -51,19 +51,30 @@ def _power(alpha: float, exponent: Column) -> Column:
 
 
 def _number_rows(
-    chunked: DataFrame, by: Sequence[str], order: Sequence[str], block_rows: int
+    chunked: DataFrame,
+    by: Sequence[str],
+    order: Sequence[str],
+    block_rows: int,
+    **along_chunk: Column,
 ) -> DataFrame:
     """Number the rows of each chunk: block within the chunk, and 1-based position within the block.
 
-    Carry rows know their block and get position 0.
+    Carry rows know their block and get position 0. ``along_chunk`` adds further window columns over the
+    same sorted chunk.
     """
     carry_block = F.col(BLOCK) if BLOCK in chunked.columns else F.lit(None).cast("int")
     running = series_window(by, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     row = F.count(F.when(is_row(), 1)).over(running) - 1
+    block = F.floor(F.col("_row") / block_rows).cast("int")
+    position = (F.col("_row") % block_rows + 1).cast("int")
     return (
-        chunked.withColumn("_row", row)
-        .withColumn(BLOCK, F.when(is_row(), F.floor(F.col("_row") / block_rows).cast("int")).otherwise(carry_block))
-        .withColumn(_J, F.when(is_row(), (F.col("_row") % block_rows + 1).cast("int")).otherwise(0))
+        chunked.withColumns({"_row": row, **along_chunk})
+        .withColumns(
+            {
+                BLOCK: F.when(is_row(), block).otherwise(carry_block),
+                _J: F.when(is_row(), position).otherwise(0),
+            }
+        )
         .drop("_row")
     )
 
@@ -136,63 +147,74 @@ def ema(
     if start_index < 0:
         raise ValueError("start_index must not be negative")
     chunk_seconds = default_chunk_seconds(by) if chunk_seconds is None else chunk_seconds
-    indexed = sequence_index(frame, "_index", by=by, order=order, chunk_seconds=chunk_seconds)
     value = F.col(source).cast("double")
+    keys = list(by)
+    rows = frame.withColumn("_x", value)
+    if start_index > 0:
+        # Rows before the start become a series of their own, whose average is not shown.
+        indexed = sequence_index(rows, "_index", by=by, order=order, chunk_seconds=chunk_seconds)
+        rows = indexed.withColumn("_started", F.col("_index") >= start_index)
+        keys.append("_started")
+    chunked = rows.withColumn(CHUNK, time_chunk(order[0], chunk_seconds))
+    averaged = _ema_from_first_row(chunked, keys, order, alpha)
+    shown = F.when(F.col("_started"), F.col("_ema")) if start_index > 0 else F.col("_ema")
+    return averaged.select(*frame.columns, shown.alias(output))
+
+
+def _ema_from_first_row(
+    chunked: DataFrame, by: Sequence[str], order: Sequence[str], alpha: float
+) -> DataFrame:
+    """Add ``_ema``, the average of ``_x`` along each series."""
     if alpha == 1.0:
-        return indexed.select(
-            *frame.columns, F.when(F.col("_index") >= start_index, value).alias(output)
-        )
-
+        return chunked.withColumn("_ema", F.col("_x"))
     # The smallest weight of a block, beta ** -block_rows, stays below e ** 300.
     block_rows = max(1, min(BLOCK_ROWS, int(300 / -math.log(1.0 - alpha))))
-    chunked = indexed.withColumn(CHUNK, time_chunk(order[0], chunk_seconds)).withColumn("_x", value)
     decay = _power(alpha, F.col(_J))
-    # The start row enters undecayed, as if an average of the same value came before it.
-    seed = F.when(F.col("_index") == start_index, F.col("_x"))
-    later = F.when(F.col("_index") > start_index, F.col("_x"))
-
-    numbered = _number_rows(chunked.withColumn(RANK, F.lit(0)), by, order, block_rows)
-    length = _power(alpha, F.max(_J))
-    parts = numbered.groupBy(*by, CHUNK, BLOCK).agg(
-        F.struct(
-            F.count(F.lit(1)).alias("n"),
-            (F.coalesce(F.sum(F.lit(alpha) * later / decay), F.lit(0.0)) * length).alias("e"),
-            F.coalesce(F.max(F.col("_index") == start_index), F.lit(False)).alias("seeded"),
-            (F.sum(seed / decay) * length).alias("s"),
-        ).alias(PART)
+    weighted = F.lit(alpha) * F.col("_x") / decay
+    narrow = chunked.select(*by, CHUNK, *order, "_x", F.lit(0).alias(RANK))
+    parts = (
+        _number_rows(narrow, by, order, block_rows)
+        .groupBy(*by, CHUNK, BLOCK)
+        .agg(
+            F.struct(
+                F.max(_J).alias("n"),
+                F.max_by("_x", -F.col(_J)).alias("first"),
+                (F.coalesce(F.sum(weighted), F.lit(0.0)) * _power(alpha, F.max(_J))).alias("e"),
+            ).alias(PART)
+        )
     )
 
     def merge(a: Column, b: Column) -> Column:
-        shrink = _power(alpha, b["n"])
         return F.struct(
             (a["n"] + b["n"]).alias("n"),
-            (a["e"] * shrink + b["e"]).alias("e"),
-            (a["seeded"] | b["seeded"]).alias("seeded"),
-            F.when(a["seeded"], a["s"] * shrink).otherwise(b["s"]).alias("s"),
+            a["first"].alias("first"),
+            (a["e"] * _power(alpha, b["n"]) + b["e"]).alias("e"),
         )
 
+    own, before = F.col(PART), F.col(CARRY)
+    opens = before.isNull()
+    start = F.when(opens, own["first"]).otherwise(before["first"] * _power(alpha, before["n"]) + before["e"])
     carries = _block_carries(parts, by, merge).select(
         *by,
         CHUNK,
         BLOCK,
-        F.lit(-1).alias(RANK),
-        F.coalesce(f"{CARRY}.seeded", F.lit(False)).alias("_seeded"),
-        F.when(F.col(f"{CARRY}.seeded"), F.col(f"{CARRY}.s") + F.col(f"{CARRY}.e")).alias("_before"),
-    )
-    window = series_window(by, order, BLOCK).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = _number_rows(with_carry_rows(chunked, carries), by, order, block_rows).withColumns(
-        {
-            "_was_seeded": F.first("_seeded").over(window),
-            "_carried": F.first("_before").over(window),
-            "_start": F.sum(seed / decay).over(window),
-            "_later": F.coalesce(F.sum(F.lit(alpha) * later / decay).over(window), F.lit(0.0)),
-        }
+        # The row that opens a series comes last of the carry rows, right before the first row.
+        F.when(opens, F.lit(-1)).otherwise(F.lit(-2)).alias(RANK),
+        start.alias("_start"),
     )
-    start = F.when(F.col("_was_seeded"), F.col("_carried")).otherwise(F.col("_start"))
-    average = F.when(F.col("_index") == start_index, F.col("_x")).when(
-        F.col("_index") > start_index, (start + F.col("_later")) * decay
+    previous = F.lag(RANK).over(series_window(by, order))
+    rows = _number_rows(with_carry_rows(chunked, carries), by, order, block_rows, _first=previous == -1)
+    running = series_window(by, order, BLOCK).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    entered = F.when(is_row(), weighted).otherwise(F.col("_start"))
+    void = F.max(~is_row() & F.col("_start").isNull()).over(running)
+    average = F.coalesce(F.sum(entered).over(running), F.lit(0.0)) * decay
+    return (
+        rows.withColumns({"_void": void, "_ema": average})
+        .filter(is_row())
+        .withColumn(
+            "_ema", F.when(F.col("_first"), F.col("_x")).when(~F.col("_void"), F.col("_ema"))
+        )
     )
-    return rows.filter(is_row()).select(*frame.columns, average.alias(output))
 
 
 def _moves(delta: Column) -> tuple[Column, Column]:
@@ -242,19 +264,11 @@ def _scan_columns(close: Column, delta: Column) -> dict[str, Column]:
 
 def _indicator_parts(numbered: DataFrame) -> DataFrame:
     """Summary of each block: what later blocks need to know about it."""
-    window = series_window(SERIES_KEY, SERIES_ORDER, BLOCK)
     close, j = F.col("close"), F.col(_J)
     gain, loss = _moves(F.col("_delta"))
-    rows = (
-        numbered.select(*SERIES_KEY, CHUNK, BLOCK, RANK, _J, "close", *SERIES_ORDER)
-        .withColumns(
-            {
-                "_delta": close - F.lag("close").over(window),
-                "_in_tail": F.lead(F.lit(1), BOLLINGER_ROWS - 1).over(window).isNull(),
-            }
-        )
-        .withColumns(_scan_columns(close, F.col("_delta")))
-    )
+    rows = numbered.withColumns(_scan_columns(close, F.col("_delta")))
+    # The last 19 rows of a block: of a full one by position, of the last one by what follows.
+    in_tail = (j > BLOCK_ROWS + 1 - BOLLINGER_ROWS) | F.col("_ends")
 
     def total(weighted: str, alpha: float) -> Column:
         return F.coalesce(F.sum(weighted), F.lit(0.0)) * _power(alpha, F.max(_J))
@@ -271,14 +285,14 @@ def _indicator_parts(numbered: DataFrame) -> DataFrame:
             F.max(F.when(j == 2, gain)).alias("first_gain"),
             F.max(F.when(j == 2, loss)).alias("first_loss"),
             F.array_sort(
-                F.collect_list(F.when(F.col("_in_tail"), F.struct(j.alias("j"), close.alias("x"))))
+                F.collect_list(F.when(in_tail, F.struct(j.alias("j"), close.alias("x"))))
             ).alias("tail"),
         ).alias(PART)
     )
 
 
 def _carry_rows(carries: DataFrame) -> DataFrame:
-    """Rows that open each block: its starting averages, then the up to 19 closes before it."""
+    """Rows that open the blocks with their starting averages, and the up to 19 closes before a chunk."""
     own, before = F.col(PART), F.col(CARRY)
     opens = before.isNull()
     gain, loss = _moves(own["first"] - before["last"])
@@ -308,7 +322,7 @@ def _carry_rows(carries: DataFrame) -> DataFrame:
     )
     nothing = [F.lit(None).cast("double").alias(f"_c{side}") for side in ("12", "26", "gain", "loss")]
     closes = F.transform(
-        F.coalesce(before["tail"], F.array().cast(TAIL_TYPE)),
+        F.coalesce(F.when(F.col(BLOCK) == 0, before["tail"]), F.array().cast(TAIL_TYPE)),
         lambda item, position: F.struct(
             (position - F.size(before["tail"])).alias(RANK),
             item["x"].alias("close"),
@@ -326,24 +340,36 @@ def with_indicators(frame: DataFrame, chunk_seconds: Column | int | None = None)
     chunked = frame.withColumn("close", F.col("close").cast("double")).withColumn(
         CHUNK, time_chunk(SERIES_ORDER[0], chunk_seconds)
     )
+    along_chunk = series_window(SERIES_KEY, SERIES_ORDER)
+    delta = F.col("close") - F.lag("close").over(along_chunk)
     narrow = chunked.select(*SERIES_KEY, *SERIES_ORDER, "close", CHUNK, F.lit(0).alias(RANK))
-    parts = _indicator_parts(_number_rows(narrow, SERIES_KEY, SERIES_ORDER, BLOCK_ROWS))
+    parts = _indicator_parts(
+        _number_rows(
+            narrow,
+            SERIES_KEY,
+            SERIES_ORDER,
+            BLOCK_ROWS,
+            _delta=delta,
+            _ends=F.lead(F.lit(1), BOLLINGER_ROWS - 1).over(along_chunk).isNull(),
+        )
+    )
     carries = _carry_rows(_block_carries(parts, SERIES_KEY, _merge_parts))
 
-    window = series_window(SERIES_KEY, SERIES_ORDER, BLOCK)
-    running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    recent = window.rowsBetween(1 - BOLLINGER_ROWS, Window.currentRow)
-    close, j = F.col("close"), F.col(_J)
-    rows = (
-        _number_rows(with_carry_rows(chunked, carries), SERIES_KEY, SERIES_ORDER, BLOCK_ROWS)
-        .withColumns(
-            {
-                "_delta": close - F.lag("close").over(window),
-                # Only the first row of a series has no close before it, just the opening carry row.
-                "_first": (j == 1) & (F.lag(RANK).over(window) == OPENING_RANK),
-            }
-        )
-        .withColumns(_scan_columns(close, F.col("_delta")))
+    recent = along_chunk.rowsBetween(1 - BOLLINGER_ROWS, Window.currentRow)
+    close = F.col("close")
+    rows = _number_rows(
+        with_carry_rows(chunked, carries),
+        SERIES_KEY,
+        SERIES_ORDER,
+        BLOCK_ROWS,
+        _delta=delta,
+        # Only the first row of a series has no close before it, just an opening carry row.
+        _first=F.lag(RANK).over(along_chunk) == OPENING_RANK,
+        bollinger_middle=F.avg("close").over(recent),
+        _deviation=F.stddev_pop("close").over(recent),
+    ).withColumns(_scan_columns(close, F.col("_delta")))
+    running = series_window(SERIES_KEY, SERIES_ORDER, BLOCK).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
 
     def running_average(side: str, decay: str) -> Column:
@@ -357,8 +383,6 @@ def with_indicators(frame: DataFrame, chunk_seconds: Column | int | None = None)
             "_e26": running_average("26", "_p26"),
             "_gain": running_average("gain", "_pw"),
             "_loss": running_average("loss", "_pw"),
-            "bollinger_middle": F.avg("close").over(recent),
-            "_deviation": F.stddev_pop("close").over(recent),
         }
     ).filter(is_row())
     first = F.col("_first")

@@ -146,19 +146,24 @@ def previous_value(
     )
 
 
-def latest_by_key(
-    frame: DataFrame,
-    key_columns: Sequence[str],
-    order_columns: Sequence[str],
-) -> DataFrame:
-    """The row with the greatest order columns per key.
+def first_by(frame: DataFrame, key_columns: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row per key in the given order.
 
     Catalyst turns the ranking filter into a group limit below the shuffle, so a key with very many
     copies sends at most one row per task.
     """
-    window = Window.partitionBy(*key_columns).orderBy(*[F.col(name).desc() for name in order_columns])
+    window = Window.partitionBy(*key_columns).orderBy(*order)
     return (
         frame.withColumn("_row_number", F.row_number().over(window))
         .filter(F.col("_row_number") == 1)
         .drop("_row_number")
     )
+
+
+def latest_by_key(
+    frame: DataFrame,
+    key_columns: Sequence[str],
+    order_columns: Sequence[str],
+) -> DataFrame:
+    """The row with the greatest order columns per key."""
+    return first_by(frame, key_columns, [F.col(name).desc() for name in order_columns])

@@ -34,7 +34,6 @@ from candlelake.plans.serving import (
 )
 from candlelake.plans.templates import run_template
 from candlelake.schema import (
-    BRONZE_PARTITIONS,
     BRONZE_SCHEMA,
     CANDLE_COLUMNS,
     INDICATOR_COLUMNS,
@@ -475,11 +474,17 @@ KEY_SQL = "symbol, interval, open_time"
 
 
 def _candles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_silver(T.bars(spark, sf_dir))
+    """The Silver layer of the bars."""
+    return T.stored(spark, sf_dir, "silver", lambda s, d: build_silver(T.bars(s, d)))
 
 
 def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_gold(_candles(spark, sf_dir))
+    """The Gold layer, which all serving tables read."""
+    return T.stored(spark, sf_dir, "gold", lambda s, d: build_gold(_candles(s, d)))
+
+
+def _supplier_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.stored(spark, sf_dir, "suppliers", T.supplier_bars)
 
 
 def _indicators(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
@@ -534,7 +539,7 @@ def _gold_shown(frame: DataFrame) -> DataFrame:
 
 @query("gold_indicators", f"WITH {GOLD_CTES} SELECT {GOLD_SELECT} FROM gold")
 def gold_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _gold_shown(_gold(spark, sf_dir))
+    return _gold_shown(build_gold(_candles(spark, sf_dir)))
 
 
 @query(
@@ -544,7 +549,7 @@ SELECT {KEY_SQL}, close_time, {r6('open', 'high', 'low', 'close')}, volume, {IND
   event_date::VARCHAR AS event_date FROM gold""",
 )
 def gold_indicators_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gold = build_gold(T.supplier_bars(spark, sf_dir))
+    gold = build_gold(_supplier_candles(spark, sf_dir))
     return shown(_gold_shown(gold), ["open", "high", "low", "close"])
 
 
@@ -653,7 +658,7 @@ def asof_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {GOLD_CTES} SELECT {KEY_SQL}, {_trend('gold')} AS trend FROM gold""",
 )
 def trend_label_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gold = with_indicators(_candles(spark, sf_dir))
+    gold = _gold(spark, sf_dir)
     trend = trend_label(F.col("close"), F.col("ema_26")).alias("trend")
     return gold.select("symbol", "interval", "open_time", trend)
 
@@ -670,7 +675,7 @@ SELECT {KEY_SQL}, score,
 )
 def signal_score_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of two votes, the MACD and the last move."""
-    gold = previous_value(with_indicators(_candles(spark, sf_dir)), "close", "previous")
+    gold = previous_value(_gold(spark, sf_dir), "close", "previous")
     score = signal_score(F.col("macd"), F.col("close") - F.col("previous"))
     return gold.select(
         "symbol", "interval", "open_time", score.alias("score"), signal_label(score).alias("label")
@@ -787,7 +792,7 @@ def layer_jobs_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = T.bars(spark, sf_dir).withColumns(
         {"year": F.year("open_time"), "month": F.month("open_time"), "day": F.dayofmonth("open_time")}
     )
-    write_parquet_dataset(bronze, paths.bronze, BRONZE_PARTITIONS)
+    bronze.write.parquet(paths.bronze)
     run_batch(spark, BatchConfig(paths, CONTEXT))
     daily = spark.read.parquet(f"{paths.serving}/market_daily_summary")
     return shown(daily, DAILY_VALUES, ["event_date"])

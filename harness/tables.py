@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from datetime import datetime
 
@@ -44,6 +44,22 @@ def stateful_partitions(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(
+    spark: SparkSession, sf_dir: str, layer: str, build: Callable[[SparkSession, str], DataFrame]
+) -> DataFrame:
+    """A layer as later jobs see it: written once per application, then read from its dataset."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    key = (spark.sparkContext.applicationId, sf_dir, layer)
+    if key not in _STORED:
+        path = scratch(spark)
+        build(spark, sf_dir).write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
