@@ -15,18 +15,22 @@ from pyspark.sql import functions as F
 from candlelake.operators.scan import CARRY, CHUNK, CHUNK_CANDLES, PART, RANK, carry_forward, time_chunk
 
 _TIME = "_time"
+_SPREAD = "_spread"
 _LEFT_RANK = 1
 
 
 def _fill_forward(
-    rows: DataFrame, by: Sequence[str], matches: Mapping[str, DataFrame], chunk_seconds: Column | int
+    rows: DataFrame, by: Sequence[str], names: Sequence[str], chunk_seconds: Column | int, spread: int
 ) -> DataFrame:
     """Left rows with the latest struct of each match column at or before their ``_time``.
 
     ``rows`` holds left rows (``_rank`` 1) and right rows (``_rank`` 0), each right row with one struct
-    per match it takes part in.
+    per match it takes part in. With ``spread`` the left rows of a chunk are divided over that many tasks,
+    and its right rows are repeated for each.
     """
-    names = list(matches)
+    if spread < 1:
+        raise ValueError("spread must be at least 1")
+    left_columns = [name for name in rows.columns if name not in (*names, RANK)]
     chunked = rows.withColumn(CHUNK, time_chunk(_TIME, chunk_seconds))
 
     # Only fixed-width buffers per field, so the summary is a plain hash aggregation.
@@ -43,17 +47,25 @@ def _fill_forward(
 
     carries = carry_forward(parts, by, later).filter(F.col(CARRY).isNotNull())
     opening = carries.select(*by, CHUNK, F.lit(-1).alias(RANK), f"{CARRY}.*")
+    met = chunked.unionByName(opening, allowMissingColumns=True)
+    keys = [*by, CHUNK]
+    if spread > 1:
+        own = F.array(F.pmod(F.xxhash64(*left_columns), F.lit(spread)).cast("int"))
+        every = F.sequence(F.lit(0), F.lit(spread - 1))
+        met = met.withColumn(
+            _SPREAD, F.explode(F.when(F.col(RANK) == _LEFT_RANK, own).otherwise(every))
+        )
+        keys.append(_SPREAD)
     # NULL times sort first, so the carry row opens its chunk.
     window = (
-        Window.partitionBy(*by, CHUNK)
+        Window.partitionBy(*keys)
         .orderBy(_TIME, RANK)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        chunked.unionByName(opening, allowMissingColumns=True)
-        .withColumns({name: F.last(name, ignorenulls=True).over(window) for name in names})
+        met.withColumns({name: F.last(name, ignorenulls=True).over(window) for name in names})
         .filter(F.col(RANK) == _LEFT_RANK)
-        .drop(CHUNK)
+        .drop(CHUNK, _SPREAD)
     )
 
 
@@ -67,11 +79,13 @@ def asof_join(
     columns: Sequence[str],
     match: str = "match",
     chunk_seconds: Column | int = CHUNK_CANDLES,
+    spread: int = 1,
 ) -> DataFrame:
     """Left rows with a struct of the right row's time and ``columns``, NULL where there is none.
 
     The right row is the latest of its key with ``right_on <= left_on``. Left rows without a time match
-    nothing.
+    nothing. Choose ``chunk_seconds`` so that a chunk of the largest key fits a task; where very many left
+    rows share a key and a moment, which no chunk length divides, ``spread`` does.
     """
     picked = [F.col(right_on).alias(right_on), *[F.col(c) for c in columns if c != right_on]]
     left_rows = left.select("*", F.col(left_on).cast("timestamp").alias(_TIME), F.lit(_LEFT_RANK).alias(RANK))
@@ -82,7 +96,7 @@ def asof_join(
         F.struct(*picked).alias(match),
     )
     rows = left_rows.unionByName(right_rows, allowMissingColumns=True)
-    joined = _fill_forward(rows, by, {match: right}, chunk_seconds)
+    joined = _fill_forward(rows, by, [match], chunk_seconds, spread)
     return joined.select(
         *left.columns, F.when(F.col(left_on).isNotNull(), F.col(match)).alias(match)
     )
@@ -98,6 +112,7 @@ def asof_contexts(
     columns: Sequence[str],
     context_time: str | None = None,
     chunk_seconds: Column | int = CHUNK_CANDLES,
+    spread: int = 1,
 ) -> DataFrame:
     """As-of join of a frame with parts of itself, several at once, in one scan and one shuffle.
 
@@ -117,7 +132,7 @@ def asof_contexts(
         *by, F.col(context_time).alias(_TIME), F.lit(0).alias(RANK), *structs.values()
     )
     rows = left.unionByName(right, allowMissingColumns=True)
-    joined = _fill_forward(rows, by, dict.fromkeys(contexts, frame), chunk_seconds)
+    joined = _fill_forward(rows, by, list(contexts), chunk_seconds, spread)
     known = F.col(time).isNotNull()
     return joined.select(
         *frame.columns, *[F.when(known, F.col(name)).alias(name) for name in contexts]

@@ -49,12 +49,13 @@ def brute_force(left, right):
         max_size=25,
         unique_by=lambda r: (r[0], r[1]),
     ),
+    spread=st.sampled_from([1, 3]),
 )
-def test_asof_join_equals_brute_force(spark, left, right):
+def test_asof_join_equals_brute_force(spark, left, right, spread):
     frame = spark.createDataFrame([(k, at(t), n) for k, t, n in left], "k string, t timestamp, n int")
     other = spark.createDataFrame([(k, at(t), v) for k, t, v in right], "k string, u timestamp, v double")
     joined = asof_join(
-        frame, other, by=["k"], left_on="t", right_on="u", columns=["v"], chunk_seconds=60
+        frame, other, by=["k"], left_on="t", right_on="u", columns=["v"], chunk_seconds=60, spread=spread
     )
     actual = [
         (row.k, None if row.t is None else int((row.t - START).total_seconds()), row.n, row.match is not None,
