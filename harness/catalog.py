@@ -606,7 +606,10 @@ def serving_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 DAILY_VALUES = ["avg_rsi_14", "avg_macd", "volatility_score"]
-DAILY_SQL = f"""WITH {GOLD_CTES}
+
+
+def daily_sql(ctes: str) -> str:
+    return f"""WITH {ctes}
 SELECT symbol, event_date::VARCHAR AS event_date, arg_min(open, open_time) AS open_price,
   arg_max(close, open_time) AS close_price, max(high) AS high_price, min(low) AS low_price,
   sum(volume) AS daily_volume, round(avg(rsi_14), 6) AS avg_rsi_14,
@@ -615,6 +618,9 @@ SELECT symbol, event_date::VARCHAR AS event_date, arg_min(open, open_time) AS op
 FROM gold WHERE interval = '1m' GROUP BY symbol, event_date"""
 
 
+DAILY_SQL = daily_sql(GOLD_CTES)
+
+
 @query("serving_daily_summary", DAILY_SQL)
 def serving_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = market_daily_summary(_gold(spark, sf_dir), CONTEXT)
@@ -784,12 +790,15 @@ def latest_cache_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _gold_shown(merged)
 
 
-@query("layer_jobs_daily_summary", DAILY_SQL)
+@query("layer_jobs_daily_summary", daily_sql(gold_ctes(T.bars_sql("'ALL'"))))
 def layer_jobs_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The batch run over stored layers: Bronze to Silver to Gold to serving tables and snapshot."""
+    """The batch run over stored layers: Bronze to Silver to Gold to serving tables and snapshot.
+
+    All events are trades of one symbol, so each interval is a single series.
+    """
     folder = T.scratch(spark)
     paths = BatchPaths(*(f"{folder}/{layer}" for layer in ("bronze", "silver", "gold", "serving", "latest")))
-    bronze = T.bars(spark, sf_dir).withColumns(
+    bronze = T.bars(spark, sf_dir, F.lit("ALL")).withColumns(
         {"year": F.year("open_time"), "month": F.month("open_time"), "day": F.dayofmonth("open_time")}
     )
     bronze.write.parquet(paths.bronze)

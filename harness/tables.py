@@ -27,8 +27,7 @@ COPY_OFFSET = 1_000_000_000
 
 def scratch(spark: SparkSession) -> str:
     """A new folder next to the session's checkpoints; a local one only where the session names none."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    base = base or tempfile.mkdtemp(prefix="candlelake-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="candlelake-")
     return f"{base.rstrip('/')}/candlelake-{uuid.uuid4().hex}"
 
 
@@ -82,11 +81,12 @@ def _bucket(ts: Column, seconds: int) -> Column:
     return F.timestamp_seconds(F.floor(F.unix_seconds(ts) / seconds) * seconds)
 
 
-def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bars(spark: SparkSession, sf_dir: str, symbol: Column | None = None) -> DataFrame:
     """One-minute, 15-minute and one-hour candles of the events, with event_date."""
+    symbol = F.upper("event_type") if symbol is None else symbol
     ts = F.col("ts").cast("timestamp")
     trades = read(spark, sf_dir, "events").select(
-        F.upper("event_type").alias("symbol"), ts.alias("ts"), "value"
+        symbol.alias("symbol"), ts.alias("ts"), "value"
     )
     # Each trade belongs to one bar per interval; one scan and one aggregation serve all three.
     labels = F.array(
@@ -124,7 +124,8 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("event_date", F.to_date("open_time"))
 
 
-BARS_SQL = """
+def bars_sql(symbol: str = "upper(event_type)") -> str:
+    return f"""
 bars AS (
   SELECT 'binance:' || symbol || ':' || interval || ':' || epoch_ms(open_time) AS event_id,
          'binance-rest' AS source, symbol, interval, open_time,
@@ -134,7 +135,7 @@ bars AS (
          trades::DOUBLE AS taker_buy_quote_asset_volume, TRUE AS is_closed,
          open_time + to_milliseconds(seconds * 1000 - 1) AS ingested_at, open_time::DATE AS event_date
   FROM (
-    SELECT upper(event_type) AS symbol, interval, seconds,
+    SELECT {symbol} AS symbol, interval, seconds,
            make_timestamp((epoch_us(ts) // (seconds * 1000000)) * seconds * 1000000) AS open_time,
            arg_min(value, ts) AS open, arg_max(value, ts) AS close, max(value) AS high, min(value) AS low,
            count(*) AS trades
@@ -144,6 +145,9 @@ bars AS (
 )"""
 
 
+BARS_SQL = bars_sql()
+
+
 def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily candles per supplier from lineitem: many series, sparse in time.
 
