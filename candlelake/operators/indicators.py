@@ -383,13 +383,15 @@ def with_indicators(frame: DataFrame, chunk_seconds: Column | int | None = None)
             "_e26": running_average("26", "_p26"),
             "_gain": running_average("gain", "_pw"),
             "_loss": running_average("loss", "_pw"),
+            # A series whose first close is missing has no average to start from.
+            "_void": F.max((F.col(RANK) == OPENING_RANK) & F.col("_c12").isNull()).over(running),
         }
     ).filter(is_row())
-    first = F.col("_first")
+    first, void = F.col("_first"), F.col("_void")
     averages = scanned.withColumns(
         {
-            "ema_12": F.when(first, close).otherwise(F.col("_e12")),
-            "ema_26": F.when(first, close).otherwise(F.col("_e26")),
+            "ema_12": F.when(first, close).when(~void, F.col("_e12")),
+            "ema_26": F.when(first, close).when(~void, F.col("_e26")),
             "_avg_gain": F.when(~first, F.col("_gain")),
             "_avg_loss": F.when(~first, F.col("_loss")),
         }

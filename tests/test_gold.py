@@ -139,6 +139,8 @@ def test_ema_of_a_null_start_is_null(spark):
         "close", F.when(F.col("open_time") > F.lit(start), F.col("close"))
     )
     assert {row.e for row in ema(frame, "close", "e", 0.5).collect()} == {None}
+    for chunk_seconds in (None, 120):
+        assert {row.ema_12 for row in with_indicators(frame, chunk_seconds).collect()} == {None}
     with pytest.raises(ValueError):
         ema(frame, "close", "e", 0.0)
 
