@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlelake.llm import mixing, packing, sharding
+from candlelake.llm import mixing, packing, sharding, simhash, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,3 +114,18 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"), with_ids=False)
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query("op4_simhash")
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    digits = F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint")
+    return found.select("doc_id", digits, "component_id")
+
+
+@query("op8_substring")
+def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring.remove_repeated(documents(spark, sf_dir).select("doc_id", "text"))
+    words = F.regexp_replace(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+", " ")
+    kept = F.trim(words).cast("binary")
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
