@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
 from collections.abc import Sequence
 
@@ -19,6 +21,12 @@ BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 8_000_000
 MOST_CHUNKS = 20_000
 
 
+def worker_store(name: str) -> dict:
+    """A dictionary that lives as long as the Python worker, beside functions that are unpickled for each task."""
+    holder = sys.modules.setdefault("llm_worker_store", types.ModuleType("llm_worker_store"))
+    return holder.__dict__.setdefault(name, {})
+
+
 def scratch(spark: SparkSession) -> str:
     """A new folder in ``spark.checkpoint.dir``, which driver and executors share; where unset, one for this session."""
     base = spark.conf.get("spark.checkpoint.dir", None)

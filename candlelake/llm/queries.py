@@ -8,10 +8,11 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlelake.llm import mixing, packing, sharding, simhash, substring
+from candlelake.llm import mixing, packing, quality, records, sharding, simhash, substring, toxicity
+from candlelake.llm.common import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -129,3 +130,37 @@ def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = F.regexp_replace(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+", " ")
     kept = F.trim(words).cast("binary")
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
+
+
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def remainder(doc_id: Column, by: int) -> Column:
+    return F.crc32(doc_id.cast("string").cast("binary")) % by
+
+
+def classified(docs: DataFrame, score: Column, held_out: Column) -> DataFrame:
+    found = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), score.alias("score"))
+    return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = documents(spark, sf_dir), remainder(F.col("doc_id"), 5) == 0
+    fitted = toxicity.fit(docs, labels(spark, sf_dir), ~held_out)
+    return classified(docs, toxicity.toxicity(F.col("text"), fitted), held_out)
+
+
+@query("op9_records")
+def op9_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = records.write_records(documents(spark, sf_dir), scratch(spark), tokenizer_file("word_bpe_49k.json"))
+    read = records.read_records(manifest)
+    return read.select("doc_id", F.col("before").alias("start"), "n_tokens", "ids_crc32")
+
+
+@query("op10_quality")
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = documents(spark, sf_dir), remainder(F.col("doc_id"), 3) == 1
+    fitted = quality.fit(docs, labels(spark, sf_dir), ~held_out)
+    return classified(docs, quality.quality(F.col("text"), fitted), held_out)

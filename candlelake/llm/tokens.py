@@ -13,6 +13,8 @@ from collections.abc import Callable
 
 import numpy as np
 
+from candlelake.llm.common import worker_store
+
 #: The white space of the tokenizers' patterns (the Unicode property White_Space).
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: A space belongs to the word after it; of other white space before a word, all but the last is one piece.
@@ -36,9 +38,6 @@ def byte_letters() -> list[str]:
 
 BYTE_LETTERS = byte_letters()
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 class Encoder:
     """A tokenizer file with the pieces met so far; the store is emptied when it holds ``MOST_KEPT`` pieces."""
 
@@ -132,6 +131,7 @@ class Encoder:
 
 def encoder(path: str) -> Callable[[str], bytes]:
     """The worker's encoder for a tokenizer file: loaded once for all tasks that the worker runs."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path].encode
+    kept = worker_store("encoders")
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path].encode
