@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlelake.llm import mixing, packing, quality, records, sharding, simhash, substring, toxicity
+from candlelake.llm import ann, fingerprint, mixing, packing, quality, records, sharding, simhash, substring, toxicity
 from candlelake.llm.common import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -164,3 +164,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = documents(spark, sf_dir), remainder(F.col("doc_id"), 3) == 1
     fitted = quality.fit(docs, labels(spark, sf_dir), ~held_out)
     return classified(docs, quality.quality(F.col("text"), fitted), held_out)
+
+
+@query("op5_fingerprint")
+def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_with_next(documents(spark, sf_dir))
+
+
+@query("op6_ann")
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return ann.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0))
