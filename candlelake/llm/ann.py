@@ -30,6 +30,8 @@ SCORED = "query_id long, vec_id long, score double"
 
 def codebook(points: np.ndarray, centroids: int, seed: int) -> np.ndarray:
     """Centroids by k-means; an empty one moves to the point that is worst served."""
+    if not points.shape[1]:
+        return np.zeros((1, 0))
     distinct = np.unique(points, axis=0)
     if len(distinct) <= centroids:
         return distinct

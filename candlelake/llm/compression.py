@@ -42,9 +42,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, wanted: Colu
     chosen = [known.where(F.col("label") == k).orderBy(key, "doc_id").limit(rows) for k in (0, 1)]
     # Bounded by twice ``rows`` ids.
     ids = F.broadcast(chosen[0].unionByName(chosen[1]).withColumnRenamed("doc_id", "__id"))
-    text = F.col("text").cast("string")
-    short = docs.where(text.isNotNull() & (F.octet_length(text) <= SAMPLE_BYTES_PER_TEXT))
-    found = short.join(ids, F.col("doc_id").cast("long") == F.col("__id")).select(F.col("label"), text.alias("text")).distinct()
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    short = own.where(F.octet_length("text") <= SAMPLE_BYTES_PER_TEXT)
+    found = short.join(ids, F.col("doc_id") == F.col("__id")).select("label", "text").distinct()
     sample: dict[int, list[str]] = {0: [], 1: []}
     for row in found.orderBy("label", "text").limit(4 * rows).collect():
         sample[row["label"]].append(row["text"])
@@ -57,7 +57,7 @@ def trained(samples: list[bytes], size: int) -> bytes:
 
     try:
         return zstandard.train_dictionary(size, samples).as_bytes()
-    except zstandard.ZstdError:
+    except (zstandard.ZstdError, ValueError):
         return b"".join(samples)[-size:]
 
 

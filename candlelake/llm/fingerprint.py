@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candlelake.llm.common import ordered_chunks
 
@@ -58,7 +59,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> tuple[float, float]:
     return shared / (len(a) + len(b) - shared), shared / min(len(a), len(b))
 
 
-@F.arrow_udf("array<long>")
+@F.arrow_udf(T.ArrayType(T.LongType()))
 def _sketches(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in texts:
         yield pa.array([sketch(t.as_py() or "").astype(np.int64) for t in batch], pa.list_(pa.int64()))

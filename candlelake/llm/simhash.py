@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candlelake.llm.common import stored
 from candlelake.llm.components import connected_components
@@ -45,7 +46,7 @@ def _fingerprint(text: bytes) -> int:
     return int(np.packbits(bits).view(">i8")[0])
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(T.LongType())
 def _fingerprints(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in texts:
         binary = batch.cast(pa.binary())
