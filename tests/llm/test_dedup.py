@@ -4,13 +4,12 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from llm_data import SMALL, words
 from pyspark.sql import functions as F
 
 from candlelake.llm import queries, simhash, substring
 from candlelake.llm.components import connected_components
 
-from .conftest import SMALL, words
-
 
 def plain_print(text):
     parts = (text or "").encode().lower().split()

@@ -8,13 +8,13 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from llm_data import SMALL
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from candlelake.llm import mixing, packing, queries, sharding
 from candlelake.llm.tokens import Encoder
 
-from .conftest import SMALL
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
