@@ -7,7 +7,7 @@ data, and the same rows in the same order always get the same places.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,12 +26,20 @@ def round_keys(seed: int) -> list[int]:
     return [((seed + 1) * 1_000_003 + k * 7_368_787) * MULTIPLIER % MASK for k in range(ROUNDS)]
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` applied to a value that is computed once, however often it is named there."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _mixed(half: Column, key: int, size: int) -> Column:
     """A round's function: two multiplications of 31-bit numbers, which fit in a signed long."""
     once = (half.bitwiseXOR(F.lit(key)) * F.lit(MULTIPLIER)).bitwiseAND(F.lit((1 << 62) - 1))
-    folded = once.bitwiseXOR(F.shiftright(once, 29)).bitwiseAND(F.lit(MASK))
-    twice = folded * F.lit(MULTIPLIER)
-    return F.shiftright(twice, 17) % F.lit(size)
+
+    def twice(x: Column) -> Column:
+        folded = x.bitwiseXOR(F.shiftright(x, 29)).bitwiseAND(F.lit(MASK))
+        return F.shiftright(folded * F.lit(MULTIPLIER), 17) % F.lit(size)
+
+    return bound(once, twice)
 
 
 def quotient(number: Column, by: int) -> Column:
@@ -42,23 +50,33 @@ def permuted(number: Column, rows: int, seed: int) -> Column:
     """One pass over a domain a * b of at least ``rows`` numbers: halves are changed in turn, each by the other."""
     a = max(1, math.isqrt(max(rows - 1, 0)) + 1)
     b = max(1, -(-rows // a))
-    low = number % F.lit(b)
-    high = quotient(number, b)
+
+    def turned(turn: int, key: int) -> Callable[[Column], Column]:
+        def use(state: Column) -> Column:
+            high, low = state["high"], state["low"]
+            if turn % 2:
+                low = (low + _mixed(high, key, b)) % F.lit(b)
+            else:
+                high = (high + _mixed(low, key, a)) % F.lit(a)
+            return F.struct(high.alias("high"), low.alias("low"))
+
+        return use
+
+    state = F.struct(quotient(number, b).alias("high"), (number % F.lit(b)).alias("low"))
     for turn, key in enumerate(round_keys(seed)):
-        if turn % 2:
-            low = (low + _mixed(high, key, b)) % F.lit(b)
-        else:
-            high = (high + _mixed(low, key, a)) % F.lit(a)
-    return high * F.lit(b) + low
+        state = bound(state, turned(turn, key))
+    return bound(state, lambda s: s["high"] * F.lit(b) + s["low"])
 
 
 def walked(number: Column, rows: int, seed: int) -> Column:
     """Cycle walking: permute until the number is one of the rows'."""
-    first = permuted(number, rows, seed)
     steps = F.sequence(F.lit(1), F.lit(WALK_STEPS))
-    last = F.aggregate(steps, first, lambda x, _: F.when(x < rows, x).otherwise(permuted(x, rows, seed)))
-    walk = F.when(first < rows, first).otherwise(last)
-    return F.when(walk < rows, walk).otherwise(F.raise_error(F.lit("cycle walk left unfinished")).cast("long"))
+
+    def on(first: Column) -> Column:
+        return F.aggregate(steps, first, lambda x, _: F.when(x < rows, x).otherwise(permuted(x, rows, seed)))
+
+    unfinished = F.raise_error(F.lit("cycle walk left unfinished")).cast("long")
+    return bound(bound(permuted(number, rows, seed), on), lambda walk: F.when(walk < rows, walk).otherwise(unfinished))
 
 
 def shard_rows(rows: DataFrame, order: Sequence[Column], *, shards: int = 8, seed: int = 42) -> DataFrame:
