@@ -1,12 +1,15 @@
-"""Payload codecs: JSON and Avro messages to typed structs and back."""
+"""Payload codecs: JSON and Avro messages to typed structs and back.
+
+The codec is the caller's choice. JSON needs nothing else; Avro needs Spark's own Avro module in the session.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from candlelake.functions import avro_batch
-from candlelake.schema import CANDLE_CONTRACT, contract_fields, contract_schema, wire_schema
+from candlelake.schema import CANDLE_CONTRACT, contract_fields, wire_schema
 
 # A registry-framed payload starts with a zero byte and a 4-byte schema id.
 HEADER_BYTES = 5
@@ -27,19 +30,6 @@ def add_header(payload: Column, schema_id: int) -> Column:
     return F.concat(F.unhex(F.lit(f"{MAGIC_BYTE}{schema_id:08X}")), payload)
 
 
-def has_avro_module(spark: SparkSession) -> bool:
-    """Whether the session has Spark's own Avro functions on its classpath."""
-    try:
-        spark._jvm.java.lang.Class.forName(
-            "org.apache.spark.sql.avro.AvroDataToCatalyst",
-            False,
-            spark._jvm.java.lang.Thread.currentThread().getContextClassLoader(),
-        )
-    except Exception:
-        return False
-    return True
-
-
 def _complete(record: Column, contract: str) -> Column:
     """Whether every required field is there.
 
@@ -52,9 +42,19 @@ def _complete(record: Column, contract: str) -> Column:
     return complete
 
 
-def decode_json(payload: Column, contract: str = CANDLE_CONTRACT) -> Column:
-    """JSON message to its wire struct, times being epoch milliseconds."""
-    return F.from_json(payload.cast("string"), wire_schema(contract), {"mode": "PERMISSIVE"})
+def decode_json(payload: Column, contract: str = CANDLE_CONTRACT, strict: bool = False) -> Column:
+    """JSON message to its wire struct, times being epoch milliseconds.
+
+    Spark's parser reads the first value of a text and passes over what follows. With ``strict`` such a message is
+    NULL: the text must also be whole as the only item of an array, which nothing but a closing bracket may follow,
+    and as a field of an object, which nothing but a closing brace may.
+    """
+    text, schema = payload.cast("string"), wire_schema(contract)
+    if not strict:
+        return F.from_json(text, schema, {"mode": "PERMISSIVE"})
+    items = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(schema))
+    field = F.from_json(F.concat(F.lit('{"message":'), text, F.lit("}")), "message string")["message"]
+    return F.when((F.size(items) == 1) & field.isNotNull(), F.get(items, 0))
 
 
 def wire_to_record(wire: Column, contract: str = CANDLE_CONTRACT) -> Column:
@@ -65,24 +65,11 @@ def wire_to_record(wire: Column, contract: str = CANDLE_CONTRACT) -> Column:
     return F.struct(*fields)
 
 
-def decode_avro(
-    spark: SparkSession, payload: Column, contract: str = CANDLE_CONTRACT, strict: bool = False
-) -> Column:
-    """Schemaless Avro message to the contract struct.
-
-    Spark's Avro module decodes when it is there, except for ``strict``, which it does not offer.
-    """
-    if not strict and has_avro_module(spark):
-        from pyspark.sql.avro.functions import from_avro
-
-        return from_avro(payload, contract, {"mode": "PERMISSIVE"})
-    fields = contract_fields(contract)
-
-    @F.arrow_udf(contract_schema(contract))
-    def decode(column):
-        return avro_batch.decode(column, fields, strict)
+def decode_avro(payload: Column, contract: str = CANDLE_CONTRACT) -> Column:
+    """Schemaless Avro message to the contract struct; an error where the session lacks Spark's Avro module."""
+    from pyspark.sql.avro.functions import from_avro
 
-    return decode(payload)
+    return from_avro(payload, contract, {"mode": "PERMISSIVE"})
 
 
 def decode_payload(
@@ -92,15 +79,21 @@ def decode_payload(
     value_column: str = "value",
     output_column: str = "data",
     confluent_header: bool = False,
-    codec: str = "avro",
+    codec: str = "json",
     strict: bool = False,
 ) -> DataFrame:
-    """Add the decoded record, NULL where the payload is not a complete one."""
+    """Add the decoded record, NULL where the payload is not a complete one.
+
+    ``strict`` also refuses a message that something else follows; Spark's Avro decoder cannot tell, so it is an
+    error there.
+    """
     payload = strip_header(value_column) if confluent_header else F.col(value_column)
     if codec == "json":
-        wire, convert = decode_json(payload, contract), wire_to_record
+        wire, convert = decode_json(payload, contract, strict), wire_to_record
+    elif codec == "avro" and not strict:
+        wire, convert = decode_avro(payload, contract), lambda record, _: record
     elif codec == "avro":
-        wire, convert = decode_avro(frame.sparkSession, payload, contract, strict), lambda record, _: record
+        raise ValueError("strict decoding is offered for JSON only")
     else:
         raise ValueError(f"unknown codec: {codec}")
     # As the output of a generator the decoded struct is computed once per row. As a plain column it would
@@ -118,7 +111,7 @@ def encode_payload(
     contract: str = CANDLE_CONTRACT,
     *,
     output_column: str = "value",
-    codec: str = "avro",
+    codec: str = "json",
     schema_id: int | None = None,
 ) -> DataFrame:
     """Add the encoded record of the contract columns, with a registry header if ``schema_id`` is given."""
@@ -130,18 +123,9 @@ def encode_payload(
         ]
         payload = F.encode(F.to_json(F.struct(*columns)), "UTF-8")
     elif codec == "avro":
-        record = F.struct(*[F.col(name) for name, _, _ in fields])
-        if has_avro_module(frame.sparkSession):
-            from pyspark.sql.avro.functions import to_avro
-
-            payload = to_avro(record, contract)
-        else:
-
-            @F.arrow_udf("binary")
-            def encode(column):
-                return avro_batch.encode(column, fields)
+        from pyspark.sql.avro.functions import to_avro
 
-            payload = encode(record)
+        payload = to_avro(F.struct(*[F.col(name) for name, _, _ in fields]), contract)
     else:
         raise ValueError(f"unknown codec: {codec}")
     encoded = frame.withColumn(output_column, payload)

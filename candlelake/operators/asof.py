@@ -33,12 +33,10 @@ def _fill_forward(
     left_columns = [name for name in rows.columns if name not in (*names, RANK)]
     chunked = rows.withColumn(CHUNK, time_chunk(_TIME, chunk_seconds))
 
-    # Only fixed-width buffers per field, so the summary is a plain hash aggregation.
+    # Of right rows at one moment the greatest struct counts, here and in the window below.
     def latest(name: str) -> Column:
-        seen = F.when(F.col(name).isNotNull(), F.col(_TIME))
-        fields = rows.schema[name].dataType.fieldNames()
-        picked = F.struct(*[F.max_by(F.col(name)[field], seen).alias(field) for field in fields])
-        return F.when(F.max(seen).isNotNull(), picked).alias(name)
+        known = F.when(F.col(name).isNotNull(), F.struct(F.col(_TIME), F.col(name).alias("picked")))
+        return F.max(known)["picked"].alias(name)
 
     parts = chunked.groupBy(*by, CHUNK).agg(F.struct(*[latest(name) for name in names]).alias(PART))
 
@@ -56,10 +54,10 @@ def _fill_forward(
             _SPREAD, F.explode(F.when(F.col(RANK) == _LEFT_RANK, own).otherwise(every))
         )
         keys.append(_SPREAD)
-    # NULL times sort first, so the carry row opens its chunk.
+    # NULL times sort first, so the carry row opens its chunk. A right row has the same struct for each match.
     window = (
         Window.partitionBy(*keys)
-        .orderBy(_TIME, RANK)
+        .orderBy(F.col(_TIME), F.col(RANK), F.coalesce(*names))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
@@ -83,7 +81,8 @@ def asof_join(
 ) -> DataFrame:
     """Left rows with a struct of the right row's time and ``columns``, NULL where there is none.
 
-    The right row is the latest of its key with ``right_on <= left_on``. Left rows without a time match
+    The right row is the latest of its key with ``right_on <= left_on``; of several at one moment, the one with the
+    greatest ``columns``, compared in their order, NULL being the smallest. Left rows without a time match
     nothing. Choose ``chunk_seconds`` so that a chunk of the largest key fits a task; where very many left
     rows share a key and a moment, which no chunk length divides, ``spread`` does.
     """

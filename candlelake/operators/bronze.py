@@ -20,6 +20,7 @@ DEDUP_KEY = ("event_id", "open_time")
 # Envelope columns that tell copies of one event apart.
 _COPY_COLUMNS = ("topic", "partition", "offset", "stream_name", "sequence_number", "ingested_at")
 _SPREAD = "_spread"
+_POSITION = "_position"
 
 
 def calendar_columns(frame: DataFrame, time: str = "open_time") -> DataFrame:
@@ -34,18 +35,25 @@ def calendar_columns(frame: DataFrame, time: str = "open_time") -> DataFrame:
 
 
 def deduplicate(
-    frame: DataFrame, keys: Sequence[str], *, spread_column: str | None = None, within_watermark: bool = False
+    frame: DataFrame,
+    keys: Sequence[str],
+    *,
+    spread_column: str | None = None,
+    within_watermark: bool = False,
+    position: str | None = None,
 ) -> DataFrame:
     """One row per key: in a stream the first seen, in a batch the first ingested.
 
     With ``spread_column`` a stream first drops copies within each value of that column and then
     across them, so one event with very many copies is not the work of one task. A batch needs no such
     step: each task drops its copies before the shuffle. Rows of a batch ingested at the same time are
-    told apart by their content, so a recomputed task picks the same one.
+    told apart by ``position``, a column that tells copies apart and is dropped, or else by their content; so a
+    recomputed task picks the same one.
     """
     if not frame.isStreaming:
-        rest = [name for name in frame.columns if name not in (*keys, "ingested_at")]
-        return first_by(frame, keys, [F.col(name) for name in ("ingested_at", *rest)])
+        rest = [position] if position else [name for name in frame.columns if name not in (*keys, "ingested_at")]
+        first = first_by(frame, keys, [F.col(name) for name in ("ingested_at", *rest)])
+        return first.drop(position) if position else first
     drop = DataFrame.dropDuplicatesWithinWatermark if within_watermark else DataFrame.dropDuplicates
     if spread_column is not None:
         frame = drop(frame, [*keys, spread_column]).drop(spread_column)
@@ -69,12 +77,18 @@ def build_bronze_valid(
     kept = decoded.filter(F.col("data").isNotNull())
     copies = [F.col(name) for name in _COPY_COLUMNS if name in decoded.columns]
     spread_column = _SPREAD if kept.isStreaming and spread > 1 and copies else None
+    position = _POSITION if copies and not kept.isStreaming else None
     extra = [F.pmod(F.xxhash64(*copies), F.lit(spread)).alias(_SPREAD)] if spread_column else []
+    extra += [F.struct(*copies).alias(_POSITION)] if position else []
     valid = calendar_columns(kept.select("data.*", *extra))
     if watermark_delay and valid.isStreaming:
         valid = valid.withWatermark("open_time", watermark_delay)
     return deduplicate(
-        valid, dedup_key, spread_column=spread_column, within_watermark=within_watermark
+        valid,
+        dedup_key,
+        spread_column=spread_column,
+        within_watermark=within_watermark,
+        position=position,
     )
 
 

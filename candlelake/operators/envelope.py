@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from candlelake.functions.candles import key_part, partition_key
 from candlelake.functions.codecs import decode_payload, encode_payload
+from candlelake.operators.bronze import DEDUP_KEY, deduplicate
 from candlelake.schema import CANDLE_CONTRACT, KAFKA_RAW_SCHEMA, KINESIS_RAW_SCHEMA
 
 
@@ -25,15 +26,16 @@ def build_raw(
     kind: str,
     *,
     contract: str = CANDLE_CONTRACT,
-    codec: str = "avro",
+    codec: str = "json",
     confluent_header: bool | None = None,
     stream_name: str | None = None,
     ingested_at: Column | None = None,
+    record_column: str | None = None,
 ) -> DataFrame:
     """Raw records of a Kafka or Kinesis envelope stream: metadata, untouched payload, key parts.
 
-    The payload is decoded only to flag whether it can be. Kafka payloads carry a registry header unless
-    stated otherwise.
+    The payload is decoded to flag whether it can be; ``record_column`` keeps the decoded record as well, so that
+    Bronze in the same plan need not decode again. Kafka payloads carry a registry header unless stated otherwise.
     """
     if kind == "kafka":
         source = envelope.withColumn("key", F.col("key").cast("string"))
@@ -77,20 +79,30 @@ def build_raw(
         key_part(key, 0).alias("symbol"),
         key_part(key, 1).alias("interval"),
         F.col("_decoded").isNotNull().alias("is_avro_decodable"),
+        *([F.col("_decoded").alias(record_column)] if record_column else []),
     )
-    return stamp_ingestion(raw, ingested_at).select(*schema.fieldNames())
+    return stamp_ingestion(raw, ingested_at).select(*schema.fieldNames(), *([record_column] if record_column else []))
 
 
 def candle_messages(
     candles: DataFrame,
     *,
     contract: str = CANDLE_CONTRACT,
-    codec: str = "avro",
+    codec: str = "json",
     schema_id: int | None = None,
     distinct_events: bool = True,
+    watermark_delay: str | None = None,
 ) -> DataFrame:
-    """``(key, value)`` messages of candles, at most one per event_id."""
-    unique = candles.dropDuplicates(["event_id"]) if distinct_events else candles
+    """``(key, value)`` messages of candles, at most one per event: in a batch the one ingested first.
+
+    A stream of candles needs ``watermark_delay``: by the watermark, Spark forgets events that are long past.
+    """
+    unique = candles
+    if distinct_events:
+        if candles.isStreaming and watermark_delay is None:
+            raise ValueError("a stream of distinct events needs watermark_delay")
+        bounded = candles.withWatermark("open_time", watermark_delay) if candles.isStreaming else candles
+        unique = deduplicate(bounded, DEDUP_KEY)
     return encode_payload(unique, contract, codec=codec, schema_id=schema_id).select(
         partition_key().alias("key"), "value"
     )

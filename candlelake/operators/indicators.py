@@ -419,6 +419,6 @@ def rsi(avg_gain: Column, avg_loss: Column) -> Column:
     )
 
 
-def calculate_indicators(frame: DataFrame) -> DataFrame:
+def calculate_indicators(frame: DataFrame, chunk_seconds: Column | int | None = None) -> DataFrame:
     """Candles with EMA-12, EMA-26, MACD, RSI-14 and Bollinger bands, on the Gold column list."""
-    return with_indicators(frame).select(*GOLD_COLUMNS)
+    return with_indicators(frame, chunk_seconds).select(*GOLD_COLUMNS)

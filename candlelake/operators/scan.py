@@ -20,6 +20,7 @@ from candlelake.schema import SERIES_KEY, SERIES_ORDER
 CHUNK = "_chunk"
 BLOCK = "_block"
 PART = "_part"
+GROUP = "_group"
 CARRY = "_carry"
 RANK = "_rank"
 
@@ -27,6 +28,9 @@ RANK = "_rank"
 # of chunks: a century of one-second candles has 48,000, whatever the number of rows.
 CHUNK_CANDLES = 65536
 
+# Chunks whose summaries are folded in one row.
+GROUP_CHUNKS = 256
+
 
 def default_chunk_seconds(by: Sequence[str]) -> Column:
     """Length of a chunk: from the interval label of the series, one-second candles where it has none."""
@@ -34,6 +38,17 @@ def default_chunk_seconds(by: Sequence[str]) -> Column:
     return spacing * CHUNK_CANDLES
 
 
+def chunk_seconds_by_density(frame: DataFrame, by: Sequence[str] = SERIES_KEY, time: str = SERIES_ORDER[0]) -> int:
+    """A length of chunks that holds about ``CHUNK_CANDLES`` rows of the densest series, whatever its label says.
+
+    One aggregate over the series, whose result is one number; use it where rows lie closer than their interval.
+    """
+    seconds = F.unix_micros(F.col(time).cast("timestamp")) / 1e6
+    spans = frame.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), (F.max(seconds) - F.min(seconds)).alias("span"))
+    spacing = spans.where("n > 1 AND span > 0").agg(F.min(F.col("span") / F.col("n"))).first()[0]
+    return max(1, int(CHUNK_CANDLES * spacing)) if spacing else CHUNK_CANDLES
+
+
 def time_chunk(time: Column | str, chunk_seconds: Column | int) -> Column:
     """Number of the time chunk a row falls in, growing with time."""
     time = F.col(time) if isinstance(time, str) else time
@@ -46,28 +61,41 @@ def carry_forward(
     """Exclusive ordered fold of one ``_part`` struct per ``(by, chunk)``.
 
     Returns ``(by, chunk, _carry)``, where the carry merges the parts of all earlier chunks of the
-    series, NULL for the first. One row per series folds its chunk summaries, whose number the
-    calendar bounds (see ``CHUNK_CANDLES``); it never sees the rows of the series.
+    series, NULL for the first. The fold has two levels: the chunks of a group are folded in one row, and so are
+    the groups of a series; then each group is folded again from its carry. A group has ``GROUP_CHUNKS`` chunks
+    at most, so the work grows with the number of chunks, and no row sees the rows of a series.
     """
     # The type as text has nullable fields throughout, which is what NULL carries need.
     part_type = parts.schema[PART].dataType.simpleString()
+    join_parts, nothing = fold_step(merge, part_type), F.lit(None).cast(part_type)
 
-    def step(acc: Column, item: Column) -> Column:
-        entry = F.struct(item[CHUNK].alias(CHUNK), acc["state"].alias(CARRY))
-        return F.struct(
-            fold_step(merge, part_type)(acc["state"], item[PART]).alias("state"),
-            F.concat(acc["entries"], F.array(entry)).alias("entries"),
-        )
+    def entries(start: Column, label: str) -> Column:
+        """From ``_items``: each label with the state before its part."""
 
-    start = F.struct(
-        F.lit(None).cast(part_type).alias("state"),
-        F.array().cast(f"array<struct<{CHUNK}:bigint,{CARRY}:{part_type}>>").alias("entries"),
-    )
-    return (
-        parts.groupBy(*by)
-        .agg(F.array_sort(F.collect_list(F.struct(CHUNK, PART))).alias("_items"))
-        .select(*by, F.inline(F.aggregate("_items", start, step)["entries"]))
-    )
+        def step(acc: Column, item: Column) -> Column:
+            entry = F.struct(item[label].alias(label), acc["state"].alias(CARRY))
+            return F.struct(
+                join_parts(acc["state"], item[PART]).alias("state"),
+                F.concat(acc["entries"], F.array(entry)).alias("entries"),
+            )
+
+        none = F.array().cast(f"array<struct<{label}:bigint,{CARRY}:{part_type}>>")
+        return F.aggregate("_items", F.struct(start.alias("state"), none.alias("entries")), step)["entries"]
+
+    def items(frame: DataFrame, label: str, *keys: str) -> DataFrame:
+        ordered = F.array_sort(F.collect_list(F.struct(label, PART)))
+        return frame.groupBy(*by, *keys).agg(ordered.alias("_items"))
+
+    grouped = parts.withColumn(GROUP, F.floor(F.col(CHUNK) / GROUP_CHUNKS).cast("bigint"))
+    runs = items(grouped, CHUNK, GROUP)
+    total = F.aggregate("_items", nothing, lambda acc, item: join_parts(acc, item[PART]))
+    totals = runs.select(*by, GROUP, total.alias(PART))
+    before = items(totals, GROUP).select(*by, F.inline(entries(nothing, GROUP)))
+    named = before.toDF(*[f"_before_{name}" for name in by], "_before_group", "_entering")
+    same = F.col(GROUP) == F.col("_before_group")
+    for name in by:
+        same = same & F.col(name).eqNullSafe(F.col(f"_before_{name}"))
+    return runs.join(named, same).select(*by, F.inline(entries(F.col("_entering"), CHUNK)))
 
 
 def fold_step(
@@ -152,12 +180,8 @@ def first_by(frame: DataFrame, key_columns: Sequence[str], order: Sequence[Colum
     Catalyst turns the ranking filter into a group limit below the shuffle, so a key with very many
     copies sends at most one row per task.
     """
-    window = Window.partitionBy(*key_columns).orderBy(*order)
-    return (
-        frame.withColumn("_row_number", F.row_number().over(window))
-        .filter(F.col("_row_number") == 1)
-        .drop("_row_number")
-    )
+    place = F.row_number().over(Window.partitionBy(*key_columns).orderBy(*order))
+    return frame.select("*", place.alias("_place")).where("_place = 1").select(*frame.columns)
 
 
 def latest_by_key(

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlelake.config import JobConfig, table_path
+from candlelake.config import JobConfig, under
 from candlelake.operators.indicators import calculate_indicators
+from candlelake.operators.scan import chunk_seconds_by_density
 from candlelake.operators.silver import build_silver
-from candlelake.plans.restitution import latest_snapshot
+from candlelake.plans.restitution import latest_snapshot, merge_snapshot
 from candlelake.plans.serving import SERVING_TABLES, ServingContext, materialize_serving_tables
 from candlelake.schema import (
     BRONZE_SCHEMA,
@@ -23,18 +24,18 @@ from candlelake.schema import (
     project,
 )
 from candlelake.sources.readers import catalog_table, parquet_dataset
-from candlelake.sources.sinks import write_jdbc_table, write_parquet_dataset, write_table
+from candlelake.sources.sinks import dataset_exists, replace_parquet_dataset, write_jdbc_table, write_table
 
 
-def build_gold(silver: DataFrame) -> DataFrame:
+def build_gold(silver: DataFrame, chunk_seconds: int | None = None) -> DataFrame:
     """Candles with their indicators and calendar day."""
     candles = project(silver, GOLD_SOURCE_COLUMNS)
-    return calculate_indicators(candles).withColumn("event_date", F.to_date("open_time"))
+    return calculate_indicators(candles, chunk_seconds).withColumn("event_date", F.to_date("open_time"))
 
 
 def run_silver(spark: SparkSession, bronze_path: str, silver_path: str) -> None:
     silver = build_silver(parquet_dataset(spark, bronze_path, BRONZE_SCHEMA))
-    write_parquet_dataset(silver, silver_path, SILVER_PARTITIONS)
+    replace_parquet_dataset(silver, silver_path, SILVER_PARTITIONS)
 
 
 def run_silver_table(spark: SparkSession, bronze_path: str, database: str, table: str) -> None:
@@ -43,8 +44,10 @@ def run_silver_table(spark: SparkSession, bronze_path: str, database: str, table
 
 
 def run_gold(spark: SparkSession, silver_path: str, gold_path: str) -> None:
-    gold = build_gold(parquet_dataset(spark, silver_path, SILVER_SCHEMA))
-    write_parquet_dataset(gold, gold_path, GOLD_PARTITIONS)
+    """Indicators of the stored Silver dataset, in chunks that hold as many rows as a task should see."""
+    silver = parquet_dataset(spark, silver_path, SILVER_SCHEMA)
+    gold = build_gold(silver, chunk_seconds_by_density(silver))
+    replace_parquet_dataset(gold, gold_path, GOLD_PARTITIONS)
 
 
 def run_gold_table(
@@ -60,9 +63,7 @@ def run_serving(
     """Serving tables from the stored Gold dataset, which all of them scan instead of recomputing it."""
     gold = parquet_dataset(spark, gold_path, GOLD_SCHEMA)
     for table, frame in materialize_serving_tables(gold, context):
-        write_parquet_dataset(
-            frame, table_path(output_base_path, table.name), table.partition_columns, table.mode
-        )
+        replace_parquet_dataset(frame, under(output_base_path, table.name), table.partition_columns)
 
 
 def run_gold_and_serving(
@@ -93,13 +94,19 @@ def run_datamart(
 
 
 def datamart_targets(config: JobConfig) -> dict[str, str]:
-    return {table.name: config.get(table.target_option) for table in SERVING_TABLES}
+    return {table.name: config.text(table.target_option) for table in SERVING_TABLES}
 
 
-def run_projection(spark: SparkSession, serving_base_path: str, snapshot_path: str) -> None:
-    """Latest-value snapshot from the latest serving table, all its rows."""
-    latest = parquet_dataset(spark, table_path(serving_base_path, "market_indicators_latest"))
-    write_parquet_dataset(latest_snapshot(latest), snapshot_path)
+def run_projection(
+    spark: SparkSession, serving_base_path: str, snapshot_path: str, *, now: Column | None = None
+) -> None:
+    """Put the latest serving table into the stored snapshot: its series replace their entries, others stay until
+    they expire. The new snapshot takes the old one's place when it is complete."""
+    latest = parquet_dataset(spark, under(serving_base_path, "market_indicators_latest"))
+    snapshot = latest_snapshot(latest, now=now)
+    if dataset_exists(spark, snapshot_path):
+        snapshot = merge_snapshot(parquet_dataset(spark, snapshot_path, snapshot.schema), snapshot, now=now)
+    replace_parquet_dataset(snapshot, snapshot_path)
 
 
 @dataclass(frozen=True)
@@ -120,11 +127,11 @@ class BatchConfig:
     def from_options(cls, config: JobConfig) -> BatchConfig:
         return cls(
             BatchPaths(
-                bronze=config.get("BRONZE_OUTPUT_PATH"),
-                silver=config.get("SILVER_OUTPUT_PATH"),
-                gold=config.get("GOLD_OUTPUT_PATH"),
-                serving=config.get("TRADING_GOLD_OUTPUT_BASE_PATH"),
-                snapshot=config.get("LATEST_SNAPSHOT_PATH"),
+                bronze=config.text("BRONZE_OUTPUT_PATH"),
+                silver=config.text("SILVER_OUTPUT_PATH"),
+                gold=config.text("GOLD_OUTPUT_PATH"),
+                serving=config.text("TRADING_GOLD_OUTPUT_BASE_PATH"),
+                snapshot=config.text("LATEST_SNAPSHOT_PATH"),
             ),
             serving_context(config),
         )
@@ -132,8 +139,8 @@ class BatchConfig:
 
 def serving_context(config: JobConfig) -> ServingContext:
     return ServingContext(
-        base_interval=config.get("DATAMART_BASE_INTERVAL", "1m"),
-        context_intervals=tuple(config.get_list("DATAMART_CONTEXT_INTERVALS", "15m,1h")),
+        base_interval=config.text("DATAMART_BASE_INTERVAL", "1m"),
+        context_intervals=tuple(config.items("DATAMART_CONTEXT_INTERVALS", "15m,1h")),
     )
 
 
@@ -142,4 +149,5 @@ def run_batch(spark: SparkSession, config: BatchConfig) -> None:
     paths = config.paths
     run_silver(spark, paths.bronze, paths.silver)
     run_gold_and_serving(spark, paths.silver, paths.gold, paths.serving, config.context)
-    run_projection(spark, paths.serving, paths.snapshot)
+    now = None if config.context.processing_timestamp is None else config.context.processed_at()
+    run_projection(spark, paths.serving, paths.snapshot, now=now)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 from candlelake.functions.parameters import (
     DEFAULT_INTERVALS,
     DEFAULT_SYMBOLS,
-    bounded_limit,
-    date_bound,
-    require_allowed,
-    timestamp_bound,
+    calendar_day,
+    instant,
+    one_of,
 )
 from candlelake.plans.serving import HISTORY_COLUMNS
 from candlelake.schema import SERIES_KEY, project
 
+# What each read-out answers with.
 HISTORY_FIELDS = [*HISTORY_COLUMNS]
 LATEST_FIELDS = [*HISTORY_COLUMNS, "updated_at"]
 SIGNAL_FIELDS = [
@@ -59,10 +59,12 @@ CACHE_TTL_DAYS = 7
 SECONDS_PER_DAY = 86400
 
 
-def _literal(value: datetime | date) -> Column:
-    if isinstance(value, datetime):
-        return F.timestamp_micros(F.lit(int(value.timestamp()) * 1_000_000))
-    return F.lit(value)
+EPOCH = datetime(1970, 1, 1, tzinfo=UTC)
+ONE_DAY = timedelta(days=1)
+
+
+def _moment(bound: datetime) -> Column:
+    return F.timestamp_micros(F.lit((bound - EPOCH) // timedelta(microseconds=1)))
 
 
 def time_range(
@@ -75,27 +77,26 @@ def time_range(
 ) -> DataFrame:
     """Rows with ``start <= column <= end``.
 
-    The day range this implies is stated too, so a table partitioned by day reads only those days.
+    The range of days this implies is stated too, so a table partitioned by day reads only those days. Days follow
+    the zone of the session that wrote them, so the range is a day wider on each side.
     """
     dated = date_column is not None and date_column in frame.columns
-    for text, name, keep in ((start, "from", Column.__ge__), (end, "to", Column.__le__)):
-        bound = timestamp_bound(text, name)
-        if bound is None:
-            continue
-        frame = frame.filter(keep(F.col(column), _literal(bound)))
-        if dated:
-            frame = frame.filter(keep(F.col(date_column), F.lit(bound.date())))
+    first, last = instant("from", start), instant("to", end)
+    if first is not None:
+        frame = frame.filter(F.col(column) >= _moment(first))
+        frame = frame.filter(F.col(date_column) >= F.lit((first - ONE_DAY).date())) if dated else frame
+    if last is not None:
+        frame = frame.filter(F.col(column) <= _moment(last))
+        frame = frame.filter(F.col(date_column) <= F.lit((last + ONE_DAY).date())) if dated else frame
     return frame
 
 
 def date_range(
     frame: DataFrame, start: str | None, end: str | None, column: str = "event_date"
 ) -> DataFrame:
-    first, last = date_bound(start, "from"), date_bound(end, "to")
-    if first is not None:
-        frame = frame.filter(F.col(column) >= F.lit(first))
-    if last is not None:
-        frame = frame.filter(F.col(column) <= F.lit(last))
+    days = (calendar_day("from", start), Column.__ge__), (calendar_day("to", end), Column.__le__)
+    for day, keeps in days:
+        frame = frame if day is None else frame.filter(keeps(F.col(column), F.lit(day)))
     return frame
 
 
@@ -106,14 +107,16 @@ def history_query(
     *,
     start: str | None = None,
     end: str | None = None,
-    limit: int | str | None = None,
+    limit: int | None = None,
     before: str | None = None,
     symbols: Sequence[str] = DEFAULT_SYMBOLS,
     intervals: Sequence[str] = DEFAULT_INTERVALS,
 ) -> DataFrame:
-    """Newest candles of one series. ``before`` is the last open_time of the page before this one."""
-    symbol = require_allowed(symbol, "symbol", symbols)
-    interval = require_allowed(interval, "interval", intervals)
+    """Candles of one series, newest first; all of them unless ``limit`` is given.
+
+    ``before`` is the last open_time of the page before this one (see ``next_before``).
+    """
+    symbol, interval = one_of(symbols, symbol=symbol), one_of(intervals, interval=interval)
     rows = indicators.filter((F.col("symbol") == symbol) & (F.col("interval") == interval))
     return _newest(time_range(rows, start, end), HISTORY_FIELDS, "open_time", limit, before)
 
@@ -124,12 +127,12 @@ def signals_query(
     *,
     start: str | None = None,
     end: str | None = None,
-    limit: int | str | None = None,
+    limit: int | None = None,
     before: str | None = None,
     symbols: Sequence[str] = DEFAULT_SYMBOLS,
 ) -> DataFrame:
-    """Newest multi-timeframe signals of one symbol."""
-    rows = signals.filter(F.col("symbol") == require_allowed(symbol, "symbol", symbols))
+    """Multi-timeframe signals of one symbol, newest first."""
+    rows = signals.filter(F.col("symbol") == one_of(symbols, symbol=symbol))
     return _newest(time_range(rows, start, end), SIGNAL_FIELDS, "open_time", limit, before)
 
 
@@ -139,22 +142,32 @@ def daily_summary_query(
     *,
     start: str | None = None,
     end: str | None = None,
-    limit: int | str | None = None,
+    limit: int | None = None,
     before: str | None = None,
     symbols: Sequence[str] = DEFAULT_SYMBOLS,
 ) -> DataFrame:
-    """Newest daily summaries of one symbol."""
-    rows = summaries.filter(F.col("symbol") == require_allowed(symbol, "symbol", symbols))
+    """Daily summaries of one symbol, newest first."""
+    rows = summaries.filter(F.col("symbol") == one_of(symbols, symbol=symbol))
     return _newest(date_range(rows, start, end), DAILY_SUMMARY_FIELDS, "event_date", limit, before)
 
 
 def _newest(
-    rows: DataFrame, fields: list[str], order: str, limit: int | str | None, before: str | None
+    rows: DataFrame, fields: list[str], order: str, limit: int | None, before: str | None
 ) -> DataFrame:
     if before:
-        # Keyset paging; the exact microsecond of the last row seen, not the second-precision bound.
-        rows = rows.filter(F.col(order) < F.lit(before).cast(rows.schema[order].dataType))
-    return project(rows, fields).orderBy(F.col(order).desc()).limit(bounded_limit(limit))
+        # Keyset paging. Rows older than a moment lie in its day or earlier ones, which prunes the table.
+        seen = F.lit(before).cast(rows.schema[order].dataType)
+        rows = rows.filter(F.col(order) < seen)
+        if order != "event_date" and "event_date" in rows.columns:
+            rows = rows.filter(F.col("event_date") <= F.date_add(seen.cast("date"), 1))
+    ordered = project(rows, fields).orderBy(F.col(order).desc())
+    return ordered if limit is None else ordered.limit(limit)
+
+
+def next_before(page: DataFrame, limit: int, order: str = "open_time") -> str | None:
+    """``before`` of the page after this one, or None where this one is not full."""
+    rows, last = page.agg(F.count(F.lit(1)), F.min(order).cast("string")).first()
+    return last if rows >= limit else None
 
 
 def latest_snapshot(
@@ -183,8 +196,7 @@ def latest_lookup(
     intervals: Sequence[str] = DEFAULT_INTERVALS,
 ) -> DataFrame:
     """The snapshot row of one series, no row if there is none."""
-    symbol = require_allowed(symbol, "symbol", symbols)
-    interval = require_allowed(interval, "interval", intervals)
+    symbol, interval = one_of(symbols, symbol=symbol), one_of(intervals, interval=interval)
     return snapshot.filter((F.col("symbol") == symbol) & (F.col("interval") == interval))
 
 

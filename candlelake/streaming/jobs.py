@@ -5,16 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from candlelake.config import error_checkpoint_path, global_checkpoint_path
+from candlelake.config import under
 from candlelake.functions.codecs import decode_payload
 from candlelake.operators.bronze import DEDUP_KEY, build_bronze_rejected, build_bronze_valid
 from candlelake.operators.envelope import build_raw
 from candlelake.schema import BRONZE_PARTITIONS, CANDLE_CONTRACT, RAW_PARTITIONS
 from candlelake.sources.readers import parquet_dataset, parquet_stream
-from candlelake.sources.sinks import write_kafka_stream, write_parquet_stream
+from candlelake.sources.sinks import StreamSink
 
 # Cadence of the streaming jobs.
 TRIGGER_INTERVAL = "30 seconds"
@@ -29,7 +30,7 @@ def start_raw(
     checkpoint_path: str,
     *,
     contract: str = CANDLE_CONTRACT,
-    codec: str = "avro",
+    codec: str = "json",
     confluent_header: bool | None = None,
     stream_name: str | None = None,
     trigger_interval: str | None = None,
@@ -44,15 +45,8 @@ def start_raw(
         confluent_header=confluent_header,
         stream_name=stream_name,
     )
-    return write_parquet_stream(
-        raw,
-        path,
-        global_checkpoint_path(checkpoint_path),
-        RAW_PARTITIONS,
-        trigger_interval,
-        f"raw_market_candles_{kind}",
-        available_now=available_now,
-    )
+    sink = StreamSink.dataset(path, under(checkpoint_path, "global"), RAW_PARTITIONS, f"raw_market_candles_{kind}")
+    return sink.start(raw, every=trigger_interval, available_now=available_now)
 
 
 def start_bronze(
@@ -66,7 +60,7 @@ def start_bronze(
     error_topic: tuple[str, str] | None = None,
     rejected_checkpoint_path: str | None = None,
     contract: str = CANDLE_CONTRACT,
-    codec: str = "avro",
+    codec: str = "json",
     confluent_header: bool = False,
     watermark_delay: str | None = WATERMARK_DELAY,
     dedup_key: Sequence[str] = DEDUP_KEY,
@@ -74,58 +68,45 @@ def start_bronze(
     max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
     trigger_interval: str | None = TRIGGER_INTERVAL,
     available_now: bool = False,
+    trust_flag: bool = True,
 ) -> list[StreamingQuery]:
     """Two queries over the Raw dataset: valid candles to Bronze, rejected envelopes to dead letters.
 
     Dead letters go to a dataset (``rejected_path``) or a topic (``error_topic``, as bootstrap servers
-    and name). Each query has its own checkpoint.
+    and name). Each query has its own checkpoint. By the stored flag, what Raw could decode is decoded here once
+    more, and the rest is rejected without decoding; Parquet skips what a query does not need. Set ``trust_flag`` to
+    False where the contract or codec is not the one that Raw was written with.
     """
     if (rejected_path is None) == (error_topic is None):
         raise ValueError("give either rejected_path or error_topic")
     raw = parquet_stream(spark, raw_path, raw_schema, max_files_per_trigger)
-    decoded = decode_payload(raw, contract, codec=codec, confluent_header=confluent_header)
+    sound, broken = _by_flag(raw, trust_flag)
     valid = build_bronze_valid(
-        decoded, watermark_delay=watermark_delay, dedup_key=dedup_key, spread=spread
+        decode_payload(sound, contract, codec=codec, confluent_header=confluent_header),
+        watermark_delay=watermark_delay,
+        dedup_key=dedup_key,
+        spread=spread,
+    )
+    if not trust_flag:
+        broken = decode_payload(broken, contract, codec=codec, confluent_header=confluent_header)
+    letters = rejected_checkpoint_path or f"{checkpoint_path.rstrip('/')}_errors"
+    name = "bronze_market_candles"
+    dead = (
+        StreamSink.topic(*error_topic, letters, f"{name}_errors")
+        if error_topic
+        else StreamSink.dataset(rejected_path, letters, (), f"{name}_rejected")
     )
-    rejected = build_bronze_rejected(decoded)
-    rejected_checkpoint = rejected_checkpoint_path or error_checkpoint_path(checkpoint_path)
-    queries = [
-        write_parquet_stream(
-            valid,
-            bronze_path,
-            checkpoint_path,
-            BRONZE_PARTITIONS,
-            trigger_interval,
-            "bronze_market_candles",
-            available_now=available_now,
-        )
-    ]
-    if error_topic is None:
-        queries.append(
-            write_parquet_stream(
-                rejected,
-                rejected_path,
-                rejected_checkpoint,
-                (),
-                trigger_interval,
-                "bronze_market_candles_rejected",
-                available_now=available_now,
-            )
-        )
-    else:
-        servers, topic = error_topic
-        queries.append(
-            write_kafka_stream(
-                rejected,
-                servers,
-                topic,
-                rejected_checkpoint,
-                trigger_interval,
-                "bronze_market_candles_errors",
-                available_now=available_now,
-            )
-        )
-    return queries
+    bronze = StreamSink.dataset(bronze_path, checkpoint_path, BRONZE_PARTITIONS, name)
+    streams = ((bronze, valid), (dead, build_bronze_rejected(broken)))
+    return [sink.start(rows, every=trigger_interval, available_now=available_now) for sink, rows in streams]
+
+
+def _by_flag(raw: DataFrame, trust_flag: bool) -> tuple[DataFrame, DataFrame]:
+    """Raw records that Raw could decode, and the others with an empty ``data``; all for both without the flag."""
+    if not trust_flag:
+        return raw, raw
+    decodable = F.coalesce("is_avro_decodable", F.lit(False))
+    return raw.filter(decodable), raw.filter(~decodable).withColumn("data", F.lit(None).cast("string"))
 
 
 def await_any(spark: SparkSession, queries: Sequence[StreamingQuery]) -> None:
@@ -153,17 +134,20 @@ def replay_bronze(
     raw_schema: T.StructType,
     *,
     contract: str = CANDLE_CONTRACT,
-    codec: str = "avro",
+    codec: str = "json",
     confluent_header: bool = False,
+    trust_flag: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Valid and rejected records of the whole Raw dataset, as a batch; nothing is late in a batch."""
-    raw = parquet_dataset(spark, raw_path, raw_schema)
-    decoded = decode_payload(raw, contract, codec=codec, confluent_header=confluent_header)
-    return build_bronze_valid(decoded), build_bronze_rejected(decoded)
+    sound, broken = _by_flag(parquet_dataset(spark, raw_path, raw_schema), trust_flag)
+    decoded = decode_payload(sound, contract, codec=codec, confluent_header=confluent_header)
+    if not trust_flag:
+        broken = decoded
+    return build_bronze_valid(decoded), build_bronze_rejected(broken)
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows the recent batches of a query dropped for being later than the watermark."""
+def recent_late_rows(query: StreamingQuery) -> int:
+    """Rows dropped for being later than the watermark, in the batches whose progress Spark still keeps."""
     return sum(
         operator["numRowsDroppedByWatermark"]
         for progress in query.recentProgress

@@ -86,9 +86,9 @@ RAW_FLAGS_SQL = f"""
   '2024-02-01' AS ingestion_date, 12 AS ingestion_hour FROM messages"""
 
 
-def _raw_kafka(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _raw_kafka(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     stamp = F.lit(T.INGESTED_AT).cast("timestamp")
-    return build_raw(T.kafka_envelopes(spark, sf_dir), "kafka", codec="json", ingested_at=stamp)
+    return build_raw(T.kafka_envelopes(spark, sf_dir), "kafka", codec="json", ingested_at=stamp, **options)
 
 
 def _raw_kinesis(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,18 +163,18 @@ def payload_encode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_payload(sent, codec="json").select("data.*")
 
 
-@query("avro_roundtrip", EVENT_CANDLES_ORACLE)
-def avro_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("payload_framed_roundtrip", EVENT_CANDLES_ORACLE)
+def payload_framed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent = encode_payload(T.event_candles(spark, sf_dir), schema_id=7).select("value")
     return decode_payload(sent, confluent_header=True).select("data.*")
 
 
 @query(
-    "avro_decode_strict",
+    "payload_decode_strict",
     f"""WITH {T.EVENT_CANDLES_SQL}
 SELECT event_id, n % 7 <> 2 AS decodable, CASE WHEN n % 7 <> 2 THEN close END AS close FROM event_candles""",
 )
-def avro_decode_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+def payload_decode_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The price differs from event to event, the event's number does not travel with the candle.
     numbers = T.read(spark, sf_dir, "events").select(
         F.col("event_id").alias("n"),
@@ -263,8 +263,7 @@ def _rejected_shown(frame: DataFrame) -> DataFrame:
 
 @query("bronze_valid", BRONZE_VALID_SQL)
 def bronze_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = decode_payload(_raw_kafka(spark, sf_dir), codec="json", confluent_header=True)
-    return _bronze_shown(build_bronze_valid(decoded))
+    return _bronze_shown(build_bronze_valid(_raw_kafka(spark, sf_dir, record_column="data")))
 
 
 @query("bronze_rejected", BRONZE_REJECTED_SQL)
@@ -632,24 +631,25 @@ def serving_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_shipdate, o.o_orderdate,
   o.o_totalprice, o.o_custkey
 FROM lineitem l ASOF LEFT JOIN (
-  SELECT o_custkey % 7 AS grp, o_orderdate, max(o_totalprice) AS o_totalprice, max(o_custkey) AS o_custkey
-  FROM orders GROUP BY ALL
+  SELECT o_custkey % 7 AS grp, o_orderdate, o_totalprice, o_custkey FROM orders
+  QUALIFY row_number() OVER (PARTITION BY o_custkey % 7, o_orderdate ORDER BY o_totalprice DESC, o_custkey DESC) = 1
 ) o ON o.grp = l.l_suppkey % 7 AND o.o_orderdate <= l.l_shipdate""",
 )
 def asof_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line item with the latest order day at or before its shipping, within seven large groups."""
+    """Every line item with the latest order at or before its shipping, within seven large groups.
+
+    Many orders of a group share a day; the dearest of them counts.
+    """
     lines = T.read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
         (F.col("l_suppkey") % 7).alias("grp"),
     )
-    days = (
-        T.read(spark, sf_dir, "orders")
-        .groupBy((F.col("o_custkey") % 7).alias("grp"), "o_orderdate")
-        .agg(F.max("o_totalprice").alias("o_totalprice"), F.max("o_custkey").alias("o_custkey"))
+    orders = T.read(spark, sf_dir, "orders").select(
+        (F.col("o_custkey") % 7).alias("grp"), "o_orderdate", "o_totalprice", "o_custkey"
     )
     joined = asof_join(
         lines,
-        days,
+        orders,
         by=["grp"],
         left_on="l_shipdate",
         right_on="o_orderdate",
@@ -714,7 +714,7 @@ ORDER BY open_time DESC LIMIT 100""",
 def history_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = market_indicators(_gold(spark, sf_dir), CONTEXT)
     found = restitution.history_query(
-        history, "PURCHASE", "15m", start="2024-01-05", end="2024-01-20T06:00:00Z", symbols=SYMBOLS
+        history, "PURCHASE", "15m", start="2024-01-05", end="2024-01-20T06:00:00Z", limit=100, symbols=SYMBOLS
     )
     return _gold_shown(found)
 

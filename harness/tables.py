@@ -26,8 +26,17 @@ COPY_OFFSET = 1_000_000_000
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder next to the session's checkpoints; a local one only where the session names none."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="candlelake-")
+    """A new folder next to the session's checkpoints.
+
+    Where the session names none, a session of one machine gets one of its own; on a cluster that is an error, since
+    executors do not share local folders.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="candlelake-")
+        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/candlelake-{uuid.uuid4().hex}"
 
 

@@ -8,7 +8,10 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from candlelake.functions.parameters import page_limit
 from candlelake.operators.asof import asof_join
+from candlelake.operators.indicators import ema
+from candlelake.operators.scan import chunk_seconds_by_density, previous_value, sequence_index, time_chunk
 from candlelake.plans import restitution as R
 from candlelake.plans.jobs import build_gold
 from candlelake.plans.serving import (
@@ -34,7 +37,7 @@ def brute_force(left, right):
     out = []
     for key, time, tag in left:
         seen = [r for r in right if r[0] == key and time is not None and r[1] is not None and r[1] <= time]
-        best = max(seen, key=lambda r: r[1], default=None)
+        best = max(seen, key=lambda r: (r[1], r[2] is not None, r[2] or 0), default=None)
         out.append((key, time, tag, best is not None, None if best is None else best[2]))
     return sorted(out, key=str)
 
@@ -150,8 +153,10 @@ def test_views_and_templates(spark, gold):
     assert spark.table(names[0]).count() == 34
     sql = "SELECT count(*) AS n FROM {{source_view}} WHERE interval = :interval"
     assert run_template(spark, sql, {"source_view": GOLD_VIEW}, {"interval": "15m"}).first().n == 2
-    with pytest.raises(ValueError, match="Unresolved"):
-        render_sql("SELECT {{missing}}", {})
+    assert render_sql("{{a}}-{{ b }}{{a}}", {"a": "{{b}}", "b": "2"}) == "{{b}}-2{{b}}"
+    for text in ("SELECT {{missing}}", "SELECT {{a", "a}} b"):
+        with pytest.raises(KeyError):
+            render_sql(text, {"a": "1"})
 
 
 def test_history_query(tables):
@@ -160,10 +165,83 @@ def test_history_query(tables):
     assert [r.close for r in rows.collect()] == [float(c) for c in range(20, 10, -1)]
     assert rows.columns == R.HISTORY_FIELDS
     page = R.history_query(history, "BTCUSDC", "1m", limit=5).collect()
-    following = R.history_query(history, "BTCUSDC", "1m", limit="5", before=str(page[-1].open_time)).collect()
+    following = R.history_query(history, "BTCUSDC", "1m", limit=5, before=str(page[-1].open_time)).collect()
     assert [r.close for r in page + following] == [float(c) for c in range(30, 20, -1)]
-    plan = R.history_query(history, "BTCUSDC", "1m")._jdf.queryExecution().executedPlan().toString()
-    assert "TakeOrderedAndProject" in plan
+    first = R.history_query(history, "BTCUSDC", "1m", limit=5)
+    assert R.next_before(first, 5) == str(page[-1].open_time) and R.next_before(first, 6) is None
+    assert "TakeOrderedAndProject" in first._jdf.queryExecution().executedPlan().toString()
+    assert R.history_query(history, "BTCUSDC", "1m").count() == 30
+
+
+def long_history(spark, rows):
+    moment = F.timestamp_seconds(F.lit(1735689600) + F.col("id") * 3600)
+    columns = {c: F.lit(1.0) for c in R.HISTORY_FIELDS if c not in ("symbol", "interval", "open_time", "close_time", "event_date")}
+    frame = spark.range(rows).select(F.lit("BTCUSDC").alias("symbol"), F.lit("1h").alias("interval"), moment.alias("open_time"))
+    return frame.withColumns({**columns, "close_time": F.col("open_time"), "event_date": F.to_date("open_time")})
+
+
+def test_no_row_is_dropped_without_a_limit(spark):
+    assert R.history_query(long_history(spark, 700), "BTCUSDC", "1h").count() == 700
+
+
+def test_bounds_in_another_zone_and_below_a_second(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("America/New_York", "Asia/Tokyo", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            history = long_history(spark, 60)
+            found = R.history_query(history, "BTCUSDC", "1h", start="2025-01-01T00:00:00Z", end="2025-01-01T09:00:00Z")
+            assert found.count() == 10
+            late = history.withColumn("open_time", F.timestamp_millis(F.unix_millis("open_time") + 500))
+            assert R.history_query(late, "BTCUSDC", "1h", end="2025-01-01T09:00:00.9Z").count() == 10
+            assert R.history_query(late, "BTCUSDC", "1h", end="2025-01-01T09:00:00.4Z").count() == 9
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_a_later_page_prunes_days(spark, tmp_path):
+    path = str(tmp_path / "history")
+    long_history(spark, 24 * 30).write.partitionBy("event_date").parquet(path)
+    page = R.history_query(spark.read.parquet(path), "BTCUSDC", "1h", limit=50, before="2025-01-05 12:00:00")
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan.split("PartitionFilters:")[1].split("]")[0] and "2025-01-06" in plan
+    assert page.count() == 50
+
+
+@pytest.mark.parametrize("reverse", [False, True])
+def test_asof_ties_do_not_depend_on_order(spark, reverse):
+    rows = [("k", 10, 1, "a"), ("k", 10, 5, "a"), ("k", 10, 5, None), ("k", 10, None, "z"), ("k", 9, 9, "z")]
+    rows = [(k, START + timedelta(seconds=t), v, w) for k, t, v, w in (rows[::-1] if reverse else rows)]
+    right = spark.createDataFrame(rows, "k string, at timestamp, v int, w string").coalesce(1)
+    left = spark.createDataFrame([("k", START + timedelta(seconds=s)) for s in (8, 9, 10, 500)], "k string, t timestamp")
+    for chunk in (3, 100_000):
+        joined = asof_join(left, right, by=["k"], left_on="t", right_on="at", columns=["v", "w"], chunk_seconds=chunk)
+        got = [r.match and (r.match.v, r.match.w) for r in joined.orderBy("t").collect()]
+        assert got == [None, (9, "z"), (5, "a"), (5, "a")]
+
+
+def test_carries_over_many_chunks(spark):
+    """Positions, previous values and averages over 3,000 chunks of one series, and over a second, shorter one."""
+    rows = spark.range(3000).select(F.lit("S").alias("symbol"), F.lit("1s").alias("interval"), "id").unionByName(
+        spark.range(7).select(F.lit(None).cast("string").alias("symbol"), F.lit("1s").alias("interval"), "id")
+    )
+    frame = rows.select("symbol", "interval", F.timestamp_seconds(F.col("id") * 10).alias("open_time"), F.timestamp_seconds(F.col("id") * 10 + 9).alias("close_time"), F.col("id").cast("double").alias("x"))
+    found = previous_value(sequence_index(frame, chunk_seconds=10), "x", "before", chunk_seconds=10)
+    for r in found.collect():
+        assert r["_row_index"] == r.x and r.before == (None if r.x == 0 else r.x - 1)
+    average, wanted = ema(frame, "x", "e", 0.5, chunk_seconds=10), 0.0
+    got = {(r.symbol, r.x): r.e for r in average.collect()}
+    for k in range(3000):
+        wanted = 0.5 * k + 0.5 * wanted
+        assert got[("S", float(k))] == pytest.approx(wanted)
+
+
+def test_dense_rows_get_shorter_chunks(spark):
+    dense = spark.range(400_000).select(F.lit("S").alias("symbol"), F.lit("1h").alias("interval"), F.timestamp_millis(F.col("id") * 10).alias("open_time"))
+    seconds = chunk_seconds_by_density(dense)
+    assert seconds < 700
+    most = dense.groupBy(time_chunk("open_time", seconds)).count().agg(F.max("count")).first()[0]
+    assert most <= 70_000
 
 
 def test_signal_and_daily_queries(tables):
@@ -177,12 +255,12 @@ def test_signal_and_daily_queries(tables):
 @pytest.mark.parametrize(
     ("call", "message"),
     [
-        (lambda t: R.history_query(t, None, "1m"), "Missing required parameter: symbol"),
-        (lambda t: R.history_query(t, "DOGE", "1m"), "Invalid symbol"),
-        (lambda t: R.history_query(t, "BTCUSDC", "2m"), "Invalid interval"),
-        (lambda t: R.history_query(t, "BTCUSDC", "1m", limit=501), "limit"),
-        (lambda t: R.history_query(t, "BTCUSDC", "1m", limit="x"), "integer"),
-        (lambda t: R.history_query(t, "BTCUSDC", "1m", limit=0), "limit"),
+        (lambda t: R.history_query(t, None, "1m"), "'symbol': is needed"),
+        (lambda t: R.history_query(t, "DOGE", "1m"), "'symbol': 'DOGE' is not served"),
+        (lambda t: R.history_query(t, "BTCUSDC", "2m"), "'interval'"),
+        (lambda t: page_limit(501), "limit"),
+        (lambda t: page_limit("x"), "whole number"),
+        (lambda t: page_limit(0), "limit"),
         (lambda t: R.history_query(t, "BTCUSDC", "1m", start="soon"), "ISO"),
         (lambda t: R.daily_summary_query(t, "BTCUSDC", start="2025-01-01T00:00"), "ISO date"),
     ],

@@ -1,19 +1,13 @@
 """Codecs, Raw envelopes, kline normalization, Bronze and Silver batch operators."""
 
 import json
-import struct
 from datetime import UTC, datetime
 
-import numpy as np
-import pyarrow as pa
 import pytest
 from candle_data import CANDLE
-from hypothesis import given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as SparkT
 
-from candlelake.functions import avro_batch
 from candlelake.functions.candles import interval_seconds, key_part
 from candlelake.functions.codecs import decode_payload, encode_payload, strip_header
 from candlelake.operators.bronze import build_bronze_rejected, build_bronze_valid
@@ -40,34 +34,6 @@ KLINE = [1700000000000, "10.0", "12.0", "9.0", "11.0", "42.0", 1700000059999, "4
 STAMP = datetime(2024, 2, 1, 12, 30)
 
 
-def varint(number):
-    number = (number << 1) ^ (number >> 63)
-    out = bytearray()
-    while True:
-        out.append((number & 0x7F) | (0x80 if number > 0x7F else 0))
-        number >>= 7
-        if not number:
-            return bytes(out)
-
-
-def avro_bytes(candle):
-    """The record written by hand from the format description."""
-    out = b""
-    for name, kind, _ in contract_fields(CANDLE_CONTRACT):
-        value = candle[name]
-        if kind == "string":
-            out += varint(len(value.encode())) + value.encode()
-        elif kind == "double":
-            out += struct.pack("<d", value)
-        elif kind == "boolean":
-            out += bytes([value])
-        elif kind == "timestamp-millis":
-            out += varint(round(value.timestamp() * 1000))
-        else:
-            out += varint(value)
-    return out
-
-
 def candles(spark, *rows):
     return spark.createDataFrame([dict(CANDLE, **row) for row in rows], CANDLE_SCHEMA)
 
@@ -85,64 +51,28 @@ def test_contract(tmp_path):
         contract_fields(json.dumps(added))
 
 
-def test_avro_bytes_both_ways(spark):
-    other = dict(symbol="ÉTH", number_of_trades=2**40, open=-0.5, is_closed=False)
-    frame = candles(spark, {}, other)
-    encoded = [bytes(row.value) for row in encode_payload(frame).select("value").collect()]
-    assert encoded == [avro_bytes(CANDLE), avro_bytes(dict(CANDLE, **other))]
-    payloads = spark.createDataFrame([(value,) for value in encoded], "value binary")
-    decoded = decode_payload(payloads).select("data.*")
-    assert decoded.schema == CANDLE_SCHEMA
-    assert decoded.exceptAll(frame).count() == 0 and decoded.count() == 2
-
-
-def test_broken_avro_payloads(spark):
-    good = avro_bytes(CANDLE)
-    cases = [(1, good), (2, b"not-avro"), (3, b""), (4, None), (5, good[:-1]), (6, good + b"x"), (7, b"\xff" * 60)]
-    frame = spark.createDataFrame(cases, "id int, value binary")
-    lenient = {r.id: r.data is not None for r in decode_payload(frame).collect()}
-    assert lenient == {1: True, 2: False, 3: False, 4: False, 5: False, 6: True, 7: False}
+def test_strict_payloads(spark):
+    good = bytes(encode_payload(candles(spark, {})).first().value)
+    cases = [good, good + b" \n", b"not-json", b"", None, good[:-1], good + b"x", good + b"}", good + b"]", good + b"," + good]
+    cases += [good + good, b"[" + good + b"]", good + b"]}", good + b"}]", b'"' + good, good + b',"a":1}']
+    frame = spark.createDataFrame(list(enumerate(cases)), "id int, value binary")
     strict = {r.id for r in decode_payload(frame, strict=True).collect() if r.data is not None}
-    assert strict == {1}
-    framed = frame.withColumn("value", F.concat(F.unhex(F.lit("0000000007")), "value"))
-    assert decode_payload(framed, confluent_header=True).filter("data is not null").count() == 2
-
-
-@settings(max_examples=60, deadline=None)
-@given(
-    st.lists(
-        st.tuples(
-            st.none() | st.text(max_size=5),
-            st.none() | st.integers(-(2**63), 2**63 - 1),
-            st.none() | st.floats(allow_nan=False),
-            st.none() | st.booleans(),
-        ),
-        min_size=1,
-        max_size=8,
-    )
-)
-def test_nullable_avro_fields(rows):
-    kinds = [("a", "string", True), ("b", "long", True), ("c", "double", True), ("d", "boolean", True)]
-    types = [pa.string(), pa.int64(), pa.float64(), pa.bool_()]
-    columns = [pa.array([row[i] for row in rows], type=types[i]) for i in range(4)]
-    record = pa.StructArray.from_arrays(columns, names=list("abcd"))
-    assert avro_batch.decode(avro_batch.encode(record, kinds), kinds, True).to_pylist() == record.to_pylist()
-
-
-@settings(max_examples=60, deadline=None)
-@given(st.lists(st.binary(max_size=40), min_size=1, max_size=6))
-def test_random_bytes_never_raise(payloads):
-    fields = contract_fields(CANDLE_CONTRACT)
-    column = pa.array([*payloads, avro_bytes(CANDLE)], pa.binary())
-    assert avro_batch.decode(column.slice(0), fields, False).to_pylist()[-1]["close"] == 11.0
-    sliced = pa.chunked_array([column]).combine_chunks().slice(len(payloads))
-    assert avro_batch.decode(sliced, fields, True).to_pylist()[0]["symbol"] == "BTCUSDC"
+    assert strict == {0, 1}
+    lenient = {r.id for r in decode_payload(frame).collect() if r.data is not None}
+    assert {0, 1, 6, 7, 8} <= lenient and not {2, 3, 4} & lenient
 
 
-def test_encode_of_a_missing_required_field_is_null():
-    fields = [("a", "string", False), ("b", "long", False)]
-    record = pa.StructArray.from_arrays([pa.array(["x", None]), pa.array([1, 2])], names=["a", "b"])
-    assert np.asarray(avro_batch.encode(record, fields).is_null()).tolist() == [False, True]
+def test_avro_is_an_explicit_choice(spark):
+    """Without Spark's module the codec is an error, and so is strict decoding with it."""
+    frame = spark.createDataFrame([(b"x",)], "value binary")
+    with pytest.raises(ValueError, match="strict"):
+        decode_payload(frame, codec="avro", strict=True)
+    try:
+        decoded = decode_payload(frame, codec="avro")
+    except Exception as error:  # noqa: BLE001
+        assert "avro" in str(error).lower()
+    else:
+        assert decoded.columns == ["value", "data"]
 
 
 def test_json_payloads(spark):
@@ -183,7 +113,7 @@ def test_interval_seconds(spark, label, seconds):
 
 
 def test_raw_envelopes(spark):
-    payload = avro_bytes(CANDLE)
+    payload = bytes(encode_payload(candles(spark, {})).first().value)
     kafka = spark.createDataFrame(
         [(b"BTCUSDC|1m", b"\x00\x00\x00\x00\x01" + payload, "t", 0, 5, STAMP, 1), (None, b"bad", "t", 0, 6, STAMP, 1)],
         "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp, timestampType int",

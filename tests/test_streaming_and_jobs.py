@@ -6,15 +6,24 @@ import pytest
 from candle_data import CANDLE, PROCESSED_AT, golden_rows
 from pyspark.sql import functions as F
 
-from candlelake.config import JobConfig, error_checkpoint_path, global_checkpoint_path
+from candlelake.__main__ import main
+from candlelake.config import JobConfig, under
 from candlelake.functions.codecs import encode_payload
 from candlelake.operators.bronze import calendar_columns
-from candlelake.operators.envelope import build_raw
-from candlelake.plans.jobs import BatchConfig, datamart_targets, run_batch, run_gold_table, run_silver_table
-from candlelake.plans.serving import ServingContext
+from candlelake.operators.envelope import build_raw, candle_messages
+from candlelake.plans.jobs import (
+    BatchConfig,
+    build_gold,
+    datamart_targets,
+    run_batch,
+    run_gold_table,
+    run_projection,
+    run_silver_table,
+)
+from candlelake.plans.serving import SERVING_TABLES, ServingContext, market_indicators_latest
 from candlelake.schema import BRONZE_COLUMNS, BRONZE_SCHEMA, CANDLE_SCHEMA, GOLD_SOURCE_COLUMNS, KINESIS_RAW_SCHEMA
 from candlelake.sources import readers, sinks
-from candlelake.streaming.jobs import await_all, late_rows, replay_bronze, start_bronze, start_raw, state_rows
+from candlelake.streaming.jobs import await_all, recent_late_rows, replay_bronze, start_bronze, start_raw, state_rows
 
 START = datetime(2024, 1, 1)
 
@@ -95,7 +104,7 @@ def test_late_rows_are_dropped_and_state_shrinks(spark, tmp_path, spread):
         f"binance:BTCUSDC:1m:{h}" for h in kept if h != 5
     )
     # The last run dropped one row and forgot the events far behind its watermark.
-    assert late_rows(queries[0]) == 1
+    assert recent_late_rows(queries[0]) == 1
     assert 0 < state_rows(queries[0]) < 7 * (2 if spread > 1 else 1)
 
 
@@ -131,7 +140,7 @@ def test_connector_options():
     assert sinks.kafka_sink_options("h:1", "t")["kafka.acks"] == "all"
     jdbc = sinks.jdbc_options("jdbc:x", "t", "u", "p", num_partitions=4, batch_size=1000)
     assert jdbc["dbtable"] == "public.t" and jdbc["truncate"] == "true" and jdbc["numPartitions"] == "4"
-    assert sinks.qualified_table_name("a.t") == "a.t"
+    assert sinks.jdbc_options("jdbc:x", "a.t", "u", "p")["dbtable"] == "a.t" and "batchsize" not in sinks.jdbc_options("x", "t", "u", "p")
 
 
 def test_dynamic_overwrite_and_partition_pruning(spark, tmp_path):
@@ -169,7 +178,7 @@ def test_batch_run(spark, tmp_path):
         "TRADING_GOLD_OUTPUT_BASE_PATH": "serving",
         "LATEST_SNAPSHOT_PATH": "latest",
     }
-    options = JobConfig((), {name: f"{tmp_path}/{layer}" for name, layer in layers.items()})
+    options = JobConfig.read((), {name: f"{tmp_path}/{layer}" for name, layer in layers.items()})
     config = BatchConfig.from_options(options)
     assert config.context == ServingContext()
     config = BatchConfig(config.paths, ServingContext(processing_timestamp=PROCESSED_AT))
@@ -184,6 +193,72 @@ def test_batch_run(spark, tmp_path):
     assert snapshot.count() == 3 and "expires_at_epoch" in snapshot.columns
 
 
+def test_projection_merges_into_the_stored_snapshot(spark, tmp_path):
+    base, snapshot = str(tmp_path / "serving"), str(tmp_path / "latest")
+    now = F.lit("2025-01-02 00:00:00").cast("timestamp")
+    latest = ServingContext(processing_timestamp=PROCESSED_AT)
+    gold = build_gold(spark.createDataFrame(golden_rows(), GOLD_SOURCE_COLUMNS))
+    for kept, day in (("interval <> '1h'", 0), ("interval = '1h'", 1), ("interval = '1h'", 2)):
+        table = market_indicators_latest(gold.filter(kept), latest)
+        sinks.write_parquet_dataset(table, f"{base}/market_indicators_latest")
+        run_projection(spark, base, snapshot, now=now + F.expr(f"INTERVAL {day} DAYS"))
+    expiry = {r.interval: r.expires_at_epoch for r in spark.read.parquet(snapshot).collect()}
+    assert set(expiry) == {"1m", "15m", "1h"} and expiry["1h"] - expiry["1m"] == 2 * 86400
+    assert [p.name for p in tmp_path.iterdir() if ".new-" in p.name or ".old-" in p.name] == []
+
+
+def test_a_failed_write_leaves_the_old_dataset(spark, tmp_path):
+    path = str(tmp_path / "d")
+    sinks.replace_parquet_dataset(spark.range(3), path)
+    broken = spark.range(5).select(F.when(F.col("id") == 4, F.raise_error(F.lit("broken")).cast("long")).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        sinks.replace_parquet_dataset(broken, path)
+    assert spark.read.parquet(path).count() == 3
+    sinks.replace_parquet_dataset(spark.read.parquet(path).where("id > 0"), path)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2]
+
+
+def test_jobs_by_their_options(spark, tmp_path):
+    """Bronze, Silver, Gold with serving tables, and the projection, each by its command line."""
+    folder = str(tmp_path)
+    land(spark, folder, [candle_at(h) for h in range(4)], garbage=1)
+    words = {
+        "bronze": f"--RAW_INPUT_PATH {folder}/raw --BRONZE_OUTPUT_PATH {folder}/b --BRONZE_CHECKPOINT_PATH={folder}/c "
+        f"--BRONZE_REJECTED_OUTPUT_PATH {folder}/r --BRONZE_REJECTED_CHECKPOINT_PATH {folder}/rc --AVAILABLE_NOW true --CODEC json",
+        "silver": f"--BRONZE_INPUT_PATH {folder}/b --SILVER_OUTPUT_PATH {folder}/s",
+        "gold": f"--SILVER_INPUT_PATH {folder}/s --GOLD_OUTPUT_PATH {folder}/g --TRADING_GOLD_OUTPUT_BASE_PATH {folder}/t",
+        "projection": f"--TRADING_GOLD_OUTPUT_BASE_PATH {folder}/t --LATEST_SNAPSHOT_PATH {folder}/l",
+    }
+    for job, options in words.items():
+        main([job, *options.split()])
+    assert {name: spark.read.parquet(f"{folder}/{name}").count() for name in ("b", "r", "s", "g", "l")} == {"b": 4, "r": 1, "s": 4, "g": 4, "l": 1}
+    for table in SERVING_TABLES:
+        assert spark.read.parquet(f"{folder}/t/{table.name}").count() > 0
+    with pytest.raises(SystemExit, match="usage"):
+        main(["nothing"])
+    with pytest.raises(LookupError, match="SILVER_OUTPUT_PATH"):
+        main(["silver", "--BRONZE_INPUT_PATH", folder])
+
+
+def test_message_stream_forgets_events(spark, tmp_path):
+    folder = str(tmp_path)
+    spark.createDataFrame([], CANDLE_SCHEMA).write.parquet(f"{folder}/in")
+    stream = readers.parquet_stream(spark, f"{folder}/in", CANDLE_SCHEMA)
+    with pytest.raises(ValueError, match="watermark"):
+        candle_messages(stream)
+    for hour in (0, 0, 100, 200, 300):
+        spark.createDataFrame([candle_at(hour)], CANDLE_SCHEMA).write.mode("append").parquet(f"{folder}/in")
+        sink = sinks.StreamSink.dataset(f"{folder}/out", f"{folder}/ck")
+        query = sink.start(candle_messages(stream, watermark_delay="1 hour"), available_now=True)
+        query.awaitTermination()
+    assert spark.read.parquet(f"{folder}/out").count() == 4 and state_rows(query) < 4
+
+
+def test_kinesis_rejects_have_a_key(spark):
+    frame = spark.createDataFrame([("A|1m", b"x")], "partition_key string, value binary")
+    assert sinks.keyed_messages(frame).first().key == "A|1m"
+
+
 def test_catalog_tables(spark, tmp_path):
     bronze_candles(spark).write.parquet(f"{tmp_path}/bronze")
     run_silver_table(spark, f"{tmp_path}/bronze", "lake_silver", "market_candles")
@@ -192,14 +267,16 @@ def test_catalog_tables(spark, tmp_path):
 
 
 def test_job_config():
-    config = JobConfig(("--A", "1", "--B=x, y,,z", "--C="), {"A": "env", "D": "7"})
-    assert config.get("A") == "1" and config.get_list("B") == ["x", "y", "z"]
-    assert config.get("E", "fallback") == "fallback" and config.get_positive_int("D", 1) == 7
-    for name in ("C", "MISSING"):
-        with pytest.raises(RuntimeError, match=name):
-            config.get(name)
-    with pytest.raises(RuntimeError):
-        config.get_positive_int("D", 1, maximum=5)
-    with pytest.raises(RuntimeError, match="DATAMART_INDICATORS_TABLE"):
+    words = ("job", "--A", "1", "--B=x, y,,z", "--C=", "--F", "--G", "a b", "rest")
+    config = JobConfig.read(words, {"A": "env", "D": "7"})
+    assert config.text("A") == "1" and config.items("B") == ["x", "y", "z"] and config.text("G") == "a b"
+    assert config.text("E", "fallback") == "fallback" and config.count("D", 1) == 7 and config.count("E", 3) == 3
+    for name in ("C", "F", "MISSING"):
+        with pytest.raises(LookupError, match=name):
+            config.text(name)
+    for name, most in (("D", 5), ("B", 5)):
+        with pytest.raises(ValueError, match=name):
+            config.count(name, 1, most)
+    with pytest.raises(LookupError, match="DATAMART_INDICATORS_TABLE"):
         datamart_targets(config)
-    assert global_checkpoint_path("/c/") == "/c/global" and error_checkpoint_path("/c") == "/c_errors"
+    assert under("/c/", "global") == "/c/global"
