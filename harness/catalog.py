@@ -23,8 +23,9 @@ from candlelake.operators.quality import apply_silver_quality_rules
 from candlelake.operators.scan import latest_by_key, previous_value, sequence_index
 from candlelake.operators.silver import build_silver
 from candlelake.plans import restitution
-from candlelake.plans.jobs import BatchConfig, BatchPaths, build_gold, run_batch
+from candlelake.plans.jobs import BatchConfig, BatchPaths, build_gold, run_batch, run_projection
 from candlelake.plans.serving import (
+    SERVING_TABLES,
     ServingContext,
     market_daily_summary,
     market_indicators,
@@ -305,7 +306,7 @@ def _stream_bronze(spark: SparkSession, raw: DataFrame, phases: list, folder: st
     f"""WITH {T.MESSAGES_SQL}
 SELECT 'kinesis' AS source, key AS partition_key,
   (number + copy * {T.COPY_OFFSET})::VARCHAR AS sequence_number, md5(payload) AS value,
-  CASE WHEN key IS NULL THEN '_unknown' WHEN key = '' THEN '_empty' ELSE split_part(key, '|', 1) END AS symbol,
+  CASE WHEN key IS NULL THEN '_unknown' ELSE nullif(split_part(key, '|', 1), '') END AS symbol,
   CASE WHEN key LIKE '%|%' THEN split_part(key, '|', 2) ELSE '_unknown' END AS interval,
   decodable AS is_avro_decodable FROM messages""",
 )
@@ -326,13 +327,13 @@ def raw_stream_kinesis(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     await_all([started])
     raw = parquet_dataset(spark, f"{folder}/raw", KINESIS_RAW_SCHEMA)
-    # A file layout cannot tell an empty partition value from NULL, so the empty symbol comes back as NULL.
+    # A file layout cannot tell an empty partition value from NULL: the symbol of an empty key comes back as NULL.
     return raw.select(
         "source",
         "partition_key",
         "sequence_number",
         F.md5("value").alias("value"),
-        F.coalesce("symbol", F.lit("_empty")).alias("symbol"),
+        "symbol",
         "interval",
         "is_avro_decodable",
     )
@@ -778,20 +779,21 @@ SELECT {GOLD_SELECT}, {STAMP_SQL} AS updated_at, {EXPIRY} - CASE WHEN updated TH
 FROM entries QUALIFY row_number() OVER (PARTITION BY symbol, interval ORDER BY open_time DESC) = 1""",
 )
 def latest_cache_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A snapshot of mid-month, a day old, into which two symbols are put."""
-    gold = _gold(spark, sf_dir)
+    """The projection job run twice: a snapshot of mid-month, a day old, into which two symbols are put."""
+    gold, folder = _gold(spark, sf_dir), T.scratch(spark)
     now = CONTEXT.processed_at()
-    before = F.timestamp_seconds(F.unix_seconds(now) - 86400)
-    half = market_indicators_latest(gold.filter("open_time < '2024-01-15'"), CONTEXT)
-    update = market_indicators_latest(gold.filter("symbol in ('CLICK', 'ERROR')"), CONTEXT)
-    merged = restitution.merge_snapshot(
-        restitution.latest_snapshot(half, now=before), restitution.latest_snapshot(update, now=now), now=now
+    runs = (
+        ("open_time < '2024-01-15'", F.timestamp_seconds(F.unix_seconds(now) - 86400)),
+        ("symbol in ('CLICK', 'ERROR')", now),
     )
-    return _gold_shown(merged)
+    for rows, moment in runs:
+        latest = market_indicators_latest(gold.filter(rows), CONTEXT)
+        write_parquet_dataset(latest, f"{folder}/serving/market_indicators_latest")
+        run_projection(spark, f"{folder}/serving", f"{folder}/latest", now=moment)
+    return _gold_shown(spark.read.parquet(f"{folder}/latest"))
 
 
-@query("layer_jobs_daily_summary", daily_sql(gold_ctes(T.bars_sql("'ALL'"))))
-def layer_jobs_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _batch_run(spark: SparkSession, sf_dir: str) -> BatchPaths:
     """The batch run over stored layers: Bronze to Silver to Gold to serving tables and snapshot.
 
     All events are trades of one symbol, so each interval is a single series.
@@ -803,10 +805,50 @@ def layer_jobs_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     bronze.write.parquet(paths.bronze)
     run_batch(spark, BatchConfig(paths, CONTEXT))
-    daily = spark.read.parquet(f"{paths.serving}/market_daily_summary")
+    return paths
+
+
+ALL_GOLD_CTES = gold_ctes(T.bars_sql("'ALL'"))
+
+
+@query("layer_jobs_daily_summary", daily_sql(ALL_GOLD_CTES))
+def layer_jobs_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    daily = spark.read.parquet(f"{_batch_run(spark, sf_dir).serving}/market_daily_summary")
     return shown(daily, DAILY_VALUES, ["event_date"])
 
 
+@query(
+    "layer_jobs_outputs",
+    f"""WITH {ALL_GOLD_CTES},
+latest AS (SELECT * FROM gold QUALIFY row_number() OVER (PARTITION BY symbol, interval ORDER BY open_time DESC) = 1),
+days AS (SELECT symbol, event_date, arg_max(close, open_time) AS close FROM gold WHERE interval = '1m' GROUP BY ALL),
+outputs AS (
+  SELECT 'silver' AS output, close, NULL::DOUBLE AS ema_26 FROM usable_bars
+  UNION ALL SELECT 'gold', close, ema_26 FROM gold
+  UNION ALL SELECT 'market_indicators', close, ema_26 FROM gold
+  UNION ALL SELECT 'market_indicators_latest', close, ema_26 FROM latest
+  UNION ALL SELECT 'market_multitimeframe_signals', close, NULL FROM gold WHERE interval = '1m'
+  UNION ALL SELECT 'market_daily_summary', close, NULL FROM days
+  UNION ALL SELECT 'snapshot', close, ema_26 FROM latest
+)
+SELECT output, count(*) AS n, round(sum(close), 3) AS closes, round(sum(ema_26), 3) AS averages FROM outputs GROUP BY output""",
+)
+def layer_jobs_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every dataset that the batch run writes: its rows and the sums of its prices and averages."""
+    paths = _batch_run(spark, sf_dir)
+    places = {"silver": paths.silver, "gold": paths.gold, "snapshot": paths.snapshot}
+    places |= {table.name: f"{paths.serving}/{table.name}" for table in SERVING_TABLES}
+    outputs = None
+    for name, path in places.items():
+        stored = spark.read.parquet(path)
+        close = "close_price" if "close_price" in stored.columns else "close"
+        average = F.col("ema_26") if "ema_26" in stored.columns else F.lit(None).cast("double")
+        one = stored.select(F.lit(name).alias("output"), F.col(close).alias("close"), average.alias("ema_26"))
+        outputs = one if outputs is None else outputs.unionByName(one)
+    closes, averages = F.round(F.sum("close"), 3).alias("closes"), F.round(F.sum("ema_26"), 3).alias("averages")
+    return outputs.groupBy("output").agg(F.count(F.lit(1)).alias("n"), closes, averages)
+
+
 @query(
     "serving_registry_counts",
     f"""WITH {GOLD_CTES}
