@@ -125,6 +125,7 @@ class ServingTable:
     mode: str = "overwrite"
 
 
+# Names, option names and partitions of the serving tables.
 SERVING_TABLES = (
     ServingTable(
         "market_indicators",

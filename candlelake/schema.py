@@ -95,6 +95,7 @@ def wire_schema(contract: str = CANDLE_CONTRACT) -> T.StructType:
 CANDLE_SCHEMA = contract_schema()
 CANDLE_COLUMNS = CANDLE_SCHEMA.fieldNames()
 
+# The message key, the Raw layouts of both brokers, and the envelope columns kept with rejects.
 KEY_SEPARATOR = "|"
 UNKNOWN_KEY_PART = "_unknown"
 
@@ -163,6 +164,7 @@ ENVELOPE_COLUMNS = [
 BRONZE_COLUMNS = [*CANDLE_COLUMNS, "event_date", "year", "month", "day"]
 SILVER_COLUMNS = [*CANDLE_COLUMNS, "event_date"]
 
+# The columns that Gold reads and adds, and the partitions of each layer.
 GOLD_SOURCE_COLUMNS = [
     "symbol",
     "interval",

@@ -33,7 +33,7 @@ def scratch(spark: SparkSession) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="candlelake-")
         spark.conf.set("spark.checkpoint.dir", base)
