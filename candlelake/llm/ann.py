@@ -25,6 +25,7 @@ MOST_CENTROIDS, VECTORS_PER_CELL, ROUNDS = 256, 4, 12
 BLOCK = 4096
 #: Vectors compared with all others to measure the depth, and the share of true neighbours to reach.
 PROBES, RECALL = 64, 0.95
+QUERIES_PER_TASK, MOST_TASKS = 64, 20_000
 SCORED = "query_id long, vec_id long, score double"
 
 
@@ -233,6 +234,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 10, recall: floa
     wanted = max(k + 1, depth(placed, one, two, counts, k, recall))
     first, parts = groups_of_cells(counts)
     asked = usable(queries).where(F.size("embedding") == one.shape[1] + two.shape[1]).dropDuplicates(["vec_id"])
+    # Walking the heap is the work of a query, not reading it: few of them to a task, whatever their size in bytes.
+    tasks = min(MOST_TASKS, -(-max(1, asked.count()) // QUERIES_PER_TASK))
+    asked = asked.repartition(tasks, "vec_id")
     visiting = _visits(one, two, counts, first, parts, wanted)
     visits = stored(asked.mapInArrow(visiting, "query_id long, query array<double>, group long, cells array<int>"))
     grouped = placed.mapInArrow(_grouped(first, parts), "vec_id long, embedding array<double>, cell int, group long")

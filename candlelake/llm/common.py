@@ -28,9 +28,14 @@ def worker_store(name: str) -> dict:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder in ``spark.checkpoint.dir``, which driver and executors share; where unset, one for this session."""
+    """A new folder in ``spark.checkpoint.dir``, which driver and executors share.
+
+    Where that is unset, a session on one machine gets a folder of its own; on a cluster it is an error.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="llm-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
