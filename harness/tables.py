@@ -36,7 +36,6 @@ def scratch(spark: SparkSession) -> str:
         if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="candlelake-")
-        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/candlelake-{uuid.uuid4().hex}"
 
 
