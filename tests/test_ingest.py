@@ -29,6 +29,7 @@ from candlelake.schema import (
     project,
     read_contract,
 )
+from candlelake.sources.readers import kline_polls
 
 KLINE = [1700000000000, "10.0", "12.0", "9.0", "11.0", "42.0", 1700000059999, "450.0", 17, "20.0", "215.0", "0"]
 STAMP = datetime(2024, 2, 1, 12, 30)
@@ -225,3 +226,17 @@ def test_silver_keeps_the_newest_version(spark):
     assert silver.columns == SILVER_COLUMNS and [r.event_id for r in silver.collect()] == ["b"]
     with pytest.raises(ValueError, match="missing columns: nope"):
         project(silver, ["nope"])
+
+
+def test_klines_from_landed_answers(spark, tmp_path):
+    """Answers landed as JSON lines, through the file reader to normalized candles."""
+    lines = [
+        {"symbol": "BTCUSDC", "interval": "1m", "polled_at_ms": 1700000060000, "body": json.dumps([KLINE, [KLINE[0] + 60000, *KLINE[1:6], KLINE[6] + 60000, *KLINE[7:]]])},
+        {"symbol": "ETHUSDC", "interval": "1m", "polled_at_ms": 1700000060000, "body": "[]"},
+    ]
+    (tmp_path / "polls.json").write_text("\n".join(map(json.dumps, lines)))
+    polls = kline_polls(spark, str(tmp_path))
+    assert polls.count() == 2
+    rows = parse_klines(polls).select("symbol", "interval", "polled_at_ms", F.explode("klines").alias("kline"))
+    candles = normalize_klines(rows, now_ms=F.col("polled_at_ms")).orderBy("open_time").collect()
+    assert [(c.symbol, c.is_closed, c.close) for c in candles] == [("BTCUSDC", True, 11.0), ("BTCUSDC", False, 11.0)]

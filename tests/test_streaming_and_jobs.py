@@ -23,7 +23,7 @@ from candlelake.plans.jobs import (
 from candlelake.plans.serving import SERVING_TABLES, ServingContext, market_indicators_latest
 from candlelake.schema import BRONZE_COLUMNS, BRONZE_SCHEMA, CANDLE_SCHEMA, GOLD_SOURCE_COLUMNS, KINESIS_RAW_SCHEMA
 from candlelake.sources import readers, sinks
-from candlelake.streaming.jobs import await_all, recent_late_rows, replay_bronze, start_bronze, start_raw, state_rows
+from candlelake.streaming.jobs import await_all, await_any, recent_late_rows, replay_bronze, start_bronze, start_raw, state_rows
 
 START = datetime(2024, 1, 1)
 
@@ -280,3 +280,24 @@ def test_job_config():
     with pytest.raises(LookupError, match="DATAMART_INDICATORS_TABLE"):
         datamart_targets(config)
     assert under("/c/", "global") == "/c/global"
+
+
+def test_timed_triggers_and_the_first_end(spark, tmp_path):
+    """Two queries on a clock; when one is stopped, waiting for any ends and stops the other."""
+    frame = spark.range(3)
+    frame.write.parquet(f"{tmp_path}/in")
+    queries = []
+    for name in ("a", "b"):
+        stream = readers.parquet_stream(spark, f"{tmp_path}/in", frame.schema)
+        sink = sinks.StreamSink.dataset(f"{tmp_path}/{name}", f"{tmp_path}/ck_{name}", name=f"timed_{name}")
+        queries.append(sink.start(stream, every="1 second"))
+    for query in queries:
+        query.processAllAvailable()
+    spark.range(3, 5).write.mode("append").parquet(f"{tmp_path}/in")
+    for query in queries:
+        query.processAllAvailable()
+    assert spark.read.parquet(f"{tmp_path}/a").count() == spark.read.parquet(f"{tmp_path}/b").count() == 5
+    spark.streams.resetTerminated()
+    queries[0].stop()
+    await_any(spark, queries)
+    assert not any(query.isActive for query in queries)
