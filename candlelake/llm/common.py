@@ -22,9 +22,15 @@ MOST_CHUNKS = 20_000
 
 
 def worker_store(name: str) -> dict:
-    """A dictionary that lives as long as the Python worker, beside functions that are unpickled for each task."""
+    """A dictionary that lives as long as the Python worker, beside functions that are unpickled for each task.
+
+    A worker serves many stages; asking for one store lets go of the others, so their sizes never add up.
+    """
     holder = sys.modules.setdefault("llm_worker_store", types.ModuleType("llm_worker_store"))
-    return holder.__dict__.setdefault(name, {})
+    stores = holder.__dict__.setdefault("stores", {})
+    for other in [k for k in stores if k != name]:
+        stores.pop(other)
+    return stores.setdefault(name, {})
 
 
 def scratch(spark: SparkSession) -> str:
@@ -37,7 +43,6 @@ def scratch(spark: SparkSession) -> str:
         if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 

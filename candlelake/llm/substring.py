@@ -22,8 +22,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candlelake.llm.common import worker_store
+
 WINDOW = 13
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 4_000_000
 CELL_BITS = 22
 CELLS_PER_BYTE = 0.7  # about four for each window: a word takes six bytes
 KEYS_PER_RANGE_BYTES = 16_000_000
@@ -61,6 +63,7 @@ class Windows:
     def __init__(self, table: pa.Table) -> None:
         import xxhash
 
+        worker_store("windows")  # lets go of what other stages kept
         self.words, digests = [], []
         for text in table["text"].cast(pa.large_binary()).to_pylist():
             words = (text or b"").split()

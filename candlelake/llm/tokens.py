@@ -26,7 +26,7 @@ NOT_PLAIN = re.compile("[\\x1c-\\x1f\\u0130]|[^\\x00-\\u024f]")
 #: A word of Latin letters, perhaps after a space, with ASCII signs but no quote behind it: one token group each.
 LETTERS = "A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\u024f"
 SIMPLE = re.compile(f"( ?[{LETTERS}]+)([!-&(-/:-@\\[-`{{-~]*)")
-MOST_KEPT = 2_000_000
+MOST_KEPT = 600_000
 
 
 def byte_letters() -> list[str]:
