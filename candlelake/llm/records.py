@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlelake.llm.common import ordered_chunks, stored
@@ -68,6 +68,12 @@ def _filesystem(path: str):
     return fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{os.path.abspath(path)}")
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """A path without a scheme is on the cluster's default file system, whatever the executors' own is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
+
 def _write_whole(path: str, content: bytes) -> None:
     """Under a name of its own first, then moved, so that a lost or repeated task leaves no half file."""
     system, place = _filesystem(path)
@@ -85,6 +91,7 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, rows_per_file: int
     reach, by any scheme that ``pyarrow.fs`` knows. A file holds about ``rows_per_file`` documents, equal ids together
     in order of a hash of their text; repeated rows are repeated records. No rows give an empty manifest.
     """
+    path = _qualified(docs.sparkSession, path)
     typed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     chunked, n = ordered_chunks(typed, "doc_id", rows_per_file, "file")
     laid = chunked.repartitionById(n, F.col("file")).sortWithinPartitions(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
