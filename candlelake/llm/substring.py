@@ -15,6 +15,7 @@ The sketch grows with the text and is never in one place; answers are bits in th
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +27,11 @@ from candlelake.llm.common import worker_store
 
 WINDOW = 13
 CHUNK_BYTES = 4_000_000
-CELL_BITS = 22
 CELLS_PER_BYTE = 0.7  # about four for each window: a word takes six bytes
-KEYS_PER_RANGE_BYTES = 16_000_000
+#: A row of the sketch has about this many segments, of this many bits of cells; only at the most do segments multiply.
+SEGMENTS, LEAST_CELL_BITS, MOST_CELL_BITS = 256, 12, 26
+#: Key ranges: this many, or one for so many bytes of text if that makes more.
+RANGES, BYTES_PER_RANGE = 64, 16_000_000
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 NO_ID = np.iinfo(np.int64).max
 
@@ -57,6 +60,23 @@ def _bits(blobs: list[bytes], counts: list[int]) -> np.ndarray:
     return np.concatenate([np.zeros(0, np.uint8), *parts]).astype(bool)
 
 
+@dataclass(frozen=True)
+class Size:
+    """Parts of the work for a number of bytes of text."""
+
+    chunks: int
+    segments: int
+    bits: int
+    ranges: int
+
+    @classmethod
+    def of(cls, text_bytes: int) -> Size:
+        cells = max(1, int(text_bytes * CELLS_PER_BYTE))
+        bits = min(MOST_CELL_BITS, max(LEAST_CELL_BITS, (cells // SEGMENTS).bit_length()))
+        ranges = max(RANGES, -(-text_bytes // BYTES_PER_RANGE))
+        return cls(max(1, -(-text_bytes // CHUNK_BYTES)), -(-cells >> bits) or 1, bits, ranges)
+
+
 class Windows:
     """All windows of a chunk's documents, as two 64-bit hashes of their words' 64-bit hashes."""
 
@@ -94,15 +114,16 @@ class Windows:
 class Sketch:
     """The cells of a chunk's windows in one row of the sketch, by segment."""
 
-    def __init__(self, hashes: np.ndarray, segments: int) -> None:
-        segment = (hashes >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)
-        self.codes = segment << np.uint64(CELL_BITS) | hashes & np.uint64((1 << CELL_BITS) - 1)
+    def __init__(self, hashes: np.ndarray, size: Size) -> None:
+        self.bits = np.uint64(size.bits)
+        segment = (hashes >> np.uint64(32)) * np.uint64(size.segments) >> np.uint64(32)
+        self.codes = segment << self.bits | hashes & np.uint64((1 << size.bits) - 1)
         self.cells, self.counts = np.unique(self.codes, return_counts=True)
-        limits = np.arange(segments + 1, dtype=np.uint64) << np.uint64(CELL_BITS)
+        limits = np.arange(size.segments + 1, dtype=np.uint64) << self.bits
         self.limits = np.searchsorted(self.cells, limits)
 
     def lists(self) -> list[tuple[int, bytes]]:
-        first = np.uint64((1 << CELL_BITS) - 1)
+        first = np.uint64((1 << int(self.bits)) - 1)
         edges = zip(self.limits[:-1], self.limits[1:], strict=True)
         return [(k, _deltas(self.cells[a:b] & first)) for k, (a, b) in enumerate(edges) if b > a]
 
@@ -113,12 +134,12 @@ class Sketch:
 class Repeated:
     """The windows estimated repeated, by sorted key; a key is 96 bits of a window's hashes."""
 
-    def __init__(self, table: pa.Table, answers: pa.Table, segments: int, ranges: int) -> None:
+    def __init__(self, table: pa.Table, answers: pa.Table, size: Size) -> None:
         self.windows = windows = Windows(table)
         asked = answers.filter(pc.equal(answers["kind"], 0)).sort_by("part")
         blobs, at, chosen = asked["bits"].to_pylist(), 0, np.arange(len(windows.starts))
         for row in (0, 1):
-            sketch = Sketch(windows.hashes[row], segments)
+            sketch = Sketch(windows.hashes[row], size)
             filled = sketch.filled()
             often = _bits(blobs[at : at + len(filled)], filled.tolist()) | (sketch.counts > 1)
             at += len(filled)
@@ -131,8 +152,8 @@ class Repeated:
         self.key_of = np.cumsum(fresh) - 1
         self.one, self.two, self.least = one[fresh], two[fresh], self.own_ids[fresh]
         # Ranges of the first hash's upper half.
-        found = (self.one >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
-        self.limits = np.searchsorted(found, np.arange(ranges + 1, dtype=np.uint64))
+        found = (self.one >> np.uint64(32)) * np.uint64(size.ranges) >> np.uint64(32)
+        self.limits = np.searchsorted(found, np.arange(size.ranges + 1, dtype=np.uint64))
 
     def removed(self, answers: pa.Table) -> list[np.ndarray]:
         """Per document, which words go: those of windows that a smaller id has, here or elsewhere."""
@@ -148,10 +169,10 @@ class Repeated:
         return [covered[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
 
 
-def _cells_of(segments: int) -> Callable:
+def _cells_of(size: Size) -> Callable:
     def send(key: tuple, table: pa.Table) -> pa.Table:
         windows = Windows(table)
-        rows = [(row * segments + k, blob) for row in (0, 1) for k, blob in Sketch(windows.hashes[row], segments).lists()]
+        rows = [(row * size.segments + k, blob) for row in (0, 1) for k, blob in Sketch(windows.hashes[row], size).lists()]
         parts, blobs = [r[0] for r in rows], [r[1] for r in rows]
         chunk = pa.array([key[0].as_py()] * len(rows), pa.int32())
         return pa.table({"chunk": chunk, "part": pa.array(parts, pa.int32()), "cells": pa.array(blobs, pa.binary())})
@@ -161,8 +182,8 @@ def _cells_of(segments: int) -> Callable:
 
 def _often(key: tuple, table: pa.Table) -> pa.Table:
     """Add one segment's lists, counting up to 2, and answer each."""
-    counts = np.zeros(1 << CELL_BITS, np.uint8)
     lists = [_undone(blob).astype(np.int64) for blob in table["cells"].to_pylist()]
+    counts = np.zeros(1 + max(int(cells[-1]) for cells in lists), np.uint8)
     for cells in lists:
         counts[cells] = np.minimum(counts[cells] + 1, 2)
     bits = [np.packbits(counts[cells] > 1).tobytes() for cells in lists]
@@ -170,11 +191,11 @@ def _often(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table({"chunk": table["chunk"], "kind": pa.array([0] * n, pa.int32()), "part": table["part"], "bits": pa.array(bits, pa.binary())})
 
 
-def _keys_of(segments: int, ranges: int) -> Callable:
+def _keys_of(size: Size) -> Callable:
     def send(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         import zstandard
 
-        found, rows = Repeated(table, answers, segments, ranges), []
+        found, rows = Repeated(table, answers, size), []
         squeeze = zstandard.ZstdCompressor(level=1).compress
         for part, (a, b) in enumerate(zip(found.limits[:-1], found.limits[1:], strict=True)):
             if b > a:
@@ -211,9 +232,9 @@ def _earlier(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table({"chunk": table["chunk"], "kind": pa.array([1] * n, pa.int32()), "part": table["part"], "bits": pa.array(bits, pa.binary())})
 
 
-def _cut(segments: int, ranges: int, names: list[str]) -> Callable:
+def _cut(size: Size, names: list[str]) -> Callable:
     def cut(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
-        found = Repeated(table, answers, segments, ranges)
+        found = Repeated(table, answers, size)
         texts, counts, gone = [], [], []
         given = table["text"].to_pylist()
         for text, words, removed in zip(given, found.windows.words, found.removed(answers), strict=True):
@@ -237,19 +258,16 @@ def remove_repeated(docs: DataFrame) -> DataFrame:
     rows with one id do not make each other repeated. No rows give no rows.
     """
     names = [c for c in docs.columns if c not in ("n_words", "n_removed", "__chunk")]
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    chunks = max(1, -(-size // CHUNK_BYTES))
-    segments = max(1, -(-int(size * CELLS_PER_BYTE) // (1 << CELL_BITS)))
-    ranges = max(1, -(-size // KEYS_PER_RANGE_BYTES))
-    chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("__chunk")
+    size = Size.of(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(size.chunks)).cast("int").alias("__chunk")
     typed = docs.select(*names).withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
     # One exchange of the texts serves all three passes.
-    laid = typed.select("*", chunk).repartition(chunks, "__chunk")
+    laid = typed.select("*", chunk).repartition(size.chunks, "__chunk")
     by_chunk = laid.groupBy("__chunk")
-    cells = by_chunk.applyInArrow(_cells_of(segments), "chunk int, part int, cells binary")
+    cells = by_chunk.applyInArrow(_cells_of(size), "chunk int, part int, cells binary")
     often = cells.groupBy("part").applyInArrow(_often, ANSWER)
-    keys = by_chunk.cogroup(often.groupBy("chunk")).applyInArrow(_keys_of(segments, ranges), "chunk int, part int, one binary, two binary, ids binary")
+    keys = by_chunk.cogroup(often.groupBy("chunk")).applyInArrow(_keys_of(size), "chunk int, part int, one binary, two binary, ids binary")
     earlier = keys.groupBy("part").applyInArrow(_earlier, ANSWER)
     answers = often.unionByName(earlier).groupBy("chunk")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in typed.schema]
-    return by_chunk.cogroup(answers).applyInArrow(_cut(segments, ranges, names), ", ".join([*fields, "n_words long", "n_removed long"]))
+    return by_chunk.cogroup(answers).applyInArrow(_cut(size, names), ", ".join([*fields, "n_words long", "n_removed long"]))

@@ -137,10 +137,10 @@ def test_substring_edges_in_many_chunks(spark, edge_docs, no_docs):
     # One passage in every document, repeats inside one document, and a window that ends where a text ends.
     rows += [(100 + k, f"{words(13)} own{k} {words(13, 500)}") for k in range(40)] + [(50, words(13, 900) + " " + words(13, 900))]
     frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_words", F.lit("given")).withColumn("key", F.lit(1))
-    before = substring.CHUNK_BYTES, substring.KEYS_PER_RANGE_BYTES, substring.CELL_BITS
+    before = substring.CHUNK_BYTES, substring.BYTES_PER_RANGE, substring.SEGMENTS, substring.MOST_CELL_BITS
     try:
-        for sizes in (before, (20_000, 50_000, 16)):
-            substring.CHUNK_BYTES, substring.KEYS_PER_RANGE_BYTES, substring.CELL_BITS = sizes
+        for sizes in (before, (20_000, 5_000, 4, 16), (50_000, 50_000, 1, 13)):
+            substring.CHUNK_BYTES, substring.BYTES_PER_RANGE, substring.SEGMENTS, substring.MOST_CELL_BITS = sizes
             found = substring.remove_repeated(frame).collect()
             got = Counter((r["doc_id"], r["n_words"], r["n_removed"], " ".join((r["text"] or "").encode().decode().split(" "))) for r in found if r["n_removed"])
             wanted = Counter((d, n, g, k) for (d, _), (n, g, k) in zip(rows, plain_cut(rows), strict=True) if g)
@@ -148,5 +148,5 @@ def test_substring_edges_in_many_chunks(spark, edge_docs, no_docs):
             kept = Counter((r["doc_id"], r["text"]) for r in found if not r["n_removed"])
             assert kept == Counter(row for row, (_, g, _) in zip(rows, plain_cut(rows), strict=True) if not g)
     finally:
-        substring.CHUNK_BYTES, substring.KEYS_PER_RANGE_BYTES, substring.CELL_BITS = before
+        substring.CHUNK_BYTES, substring.BYTES_PER_RANGE, substring.SEGMENTS, substring.MOST_CELL_BITS = before
     assert substring.remove_repeated(no_docs).count() == 0
