@@ -17,8 +17,11 @@ from pyspark.sql import functions as F
 from candlelake.llm.compression import Fitted, compressors, fit_calibration, labelled_sample, lengths, scored, trained
 
 ORDINARY, TOXIC, WINDOW, OVERLAP, LEVEL = 65_536, 1024, 128, 16, 9
-#: Bytes that a window must save to count, and how much more often toxic texts must have a word, in how many texts.
-SAVED, TIMES, TEXTS = 3, 4.0, 5
+#: Bytes that a window must save to count.
+SAVED = 3
+#: A word is distinctive if toxic texts have it so much more often than ordinary ones, in this share of them and in so
+#: many at least: rarer words come from a few near copies.
+TIMES, TEXT_SHARE, TEXTS = 4.0, 0.02, 5
 TRAINING_WINDOWS = 20_000
 CALIBRATION_SHARE = 3
 WORDS = re.compile(rb"[a-z\x80-\xff]+")
@@ -46,7 +49,7 @@ def distinctive(toxic: list[str], ordinary: list[str]) -> list[bytes]:
     found = [[WORDS.findall(t.lower().encode()) for t in texts] for texts in (toxic, ordinary)]
     counts = [Counter(w for words in texts for w in set(words)) for texts in found]
     shares = [max(1, len(texts)) for texts in found]
-    least = min(TEXTS, max(1, len(toxic) // 8))
+    least = min(max(TEXTS, TEXT_SHARE * len(toxic)), max(1, len(toxic) // 8))
     own = {
         w for w, n in counts[0].items()
         if n >= least and len(w) > 2 and (n + 0.5) / shares[0] > TIMES * (counts[1][w] + 0.5) / shares[1]
