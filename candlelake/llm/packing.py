@@ -20,6 +20,7 @@ from candlelake.llm.common import number_rows, stored
 from candlelake.llm.tokens import encoder
 
 END_ID = 0
+ROWS_AT_ONCE = 256
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, length: int = 1024, *, with_ids: bool = True) -> DataFrame:
@@ -34,7 +35,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, length: int = 1024, *, with_id
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
-        for batch in batches:
+        for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = encode(text.as_py() or "") + end
