@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,25 +23,40 @@ END_ID = 0
 ROWS_AT_ONCE = 256
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, length: int = 1024, *, with_ids: bool = True) -> DataFrame:
+def squeezed(ids: bytes, compress: Callable[[bytes], bytes]) -> bytes:
+    """Ids as they travel between tasks: their width in bytes, and the compressed ids in that width."""
+    numbers = np.frombuffer(ids, dtype="<u4")
+    width = 2 if int(numbers.max(initial=0)) < 1 << 16 else 4
+    return bytes([width]) + compress(numbers.astype(f"<u{width}").tobytes())
+
+
+def widened(data: bytes, decompress: Callable[[bytes], bytes]) -> bytes:
+    return np.frombuffer(decompress(data[1:]), dtype=f"<u{data[0]}").astype("<u4").tobytes()
+
+
+def token_pieces(docs: DataFrame, tokenizer: str, length: int = 1024, *, with_ids: bool = True, squeeze: bool = False) -> DataFrame:
     """Pieces of at most ``length`` ids: (doc_id, start, length, ids_crc32, doc_tokens[, ids]).
 
     A document's ids are those of its whole text (null: empty) and an end id, so every document has a piece; a null
-    id or repeated rows are pieces like others. ``ids`` are little-endian unsigned 32-bit numbers.
+    id or repeated rows are pieces like others. ``ids`` are little-endian unsigned 32-bit numbers, or
+    ``squeezed`` ones.
     """
     fields = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())]
     schema = pa.schema(fields + [("ids", pa.binary())] * with_ids)
     end, step = np.array([END_ID], dtype="<u4").tobytes(), 4 * length
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer)
+        import zstandard
+
+        encode, compress = encoder(tokenizer), zstandard.ZstdCompressor(level=1).compress
         for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = encode(text.as_py() or "") + end
                 for at in range(0, len(ids), step):
                     piece = ids[at : at + step]
-                    rows.append((doc_id, at // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4, piece))
+                    kept = squeezed(piece, compress) if squeeze else piece
+                    rows.append((doc_id, at // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4, kept))
             columns = list(zip(*rows, strict=True)) or [[]] * 6
             arrays = [pa.array(c, f.type) for c, f in zip(columns, schema, strict=False)]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
@@ -137,5 +152,27 @@ def sequences(packed: DataFrame) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, length: int = 1024, *, with_ids: bool = True) -> DataFrame:
-    """Tokenize, cut and pack whole documents; the pieces are stored once, so no text is tokenized twice."""
-    return pack_pieces(stored(token_pieces(docs, tokenizer, length, with_ids=with_ids)), length)
+    """Tokenize, cut and pack whole documents; the pieces are stored once, so no text is tokenized twice.
+
+    With ids, the pieces of a sequence follow each other in order of ``offset`` in one partition, so their ids in a row
+    are the sequence. Only numbers are sorted for the packing: the ids stay where they are, squeezed, until the
+    places are known.
+    """
+    cut = token_pieces(docs, tokenizer, length, with_ids=with_ids, squeeze=True)
+    if not with_ids:
+        return pack_pieces(stored(cut), length)
+    pieces = stored(cut.withColumn("__piece", F.monotonically_increasing_id()))
+    placed = pack_pieces(pieces.drop("ids"), length).join(pieces.select("__piece", "ids"), "__piece")
+    names = [*cut.columns, "sequence_id", "offset"]
+    laid = placed.select(*names).repartition("sequence_id").sortWithinPartitions("sequence_id", "offset")
+    at_ids = names.index("ids")
+
+    def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        decompress = zstandard.ZstdDecompressor().decompress
+        for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
+            ids = pa.array([widened(x.as_py(), decompress) for x in batch.column(at_ids)], pa.binary())
+            yield batch.set_column(at_ids, "ids", ids)
+
+    return laid.mapInArrow(widen, laid.schema)

@@ -44,8 +44,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' token ids with their places in sequences of 1024."""
-    return packing.pack_documents(docs, tokenizer_file("byte_bpe_50k.json"), with_ids=False)
+    """Sequences of 1024 token ids: pieces with their ``ids``, sequence by sequence in order of their offsets."""
+    return packing.pack_documents(docs, tokenizer_file("byte_bpe_50k.json"))
 
 
 STAGES: list[tuple[str, Stage]] = [

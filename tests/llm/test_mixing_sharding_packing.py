@@ -142,6 +142,34 @@ def test_packing(spark, edge_docs, no_docs):
         packing.pack_pieces(spark.createDataFrame([(1, 0, 9)], "doc_id long, start long, length long"), 8).count()
 
 
+def test_packed_ids_lie_in_their_sequences(spark, small_docs, monkeypatch):
+    tokenizer = Tokenizer.from_file(queries.tokenizer_file("byte_bpe_50k.json"))
+    wanted = {r["doc_id"]: np.array(tokenizer.encode(r["text"] or "", add_special_tokens=False).ids + [0], "<u4").tobytes() for r in small_docs.collect()}
+    # Rows as they come: the pieces of a sequence follow each other, and rebuild it and the documents.
+    found, parts, done = {}, {}, None
+    for r in packing.pack_documents(small_docs, queries.tokenizer_file("byte_bpe_50k.json")).collect():
+        assert done == r["sequence_id"] or r["sequence_id"] not in found
+        done = r["sequence_id"]
+        found[done] = found.get(done, b"")
+        assert len(found[done]) == 4 * r["offset"]
+        found[done] += r["ids"]
+        parts.setdefault(r["doc_id"], {})[r["start"]] = r["ids"]
+    assert {k: b"".join(v[at] for at in sorted(v)) for k, v in parts.items()} == wanted
+    assert max(map(len, found.values())) <= 4096
+    # The query's checksums are those of the ids that come out of the packing.
+    whole = packing.pack_documents
+    monkeypatch.setattr(packing, "pack_documents", lambda *a, **k: whole(*a, **k).withColumn("ids", F.lit(b"other")))
+    assert {r["ids_crc32"] for r in queries.op3_packing(spark, SMALL).collect()} == {zlib.crc32(b"other")}
+
+
+def test_wide_ids_travel_whole():
+    import zstandard
+
+    for numbers in ([], [0, 65_535], [65_536, 7, 2**32 - 1]):
+        ids = np.array(numbers, "<u4").tobytes()
+        assert packing.widened(packing.squeezed(ids, zstandard.ZstdCompressor().compress), zstandard.ZstdDecompressor().decompress) == ids
+
+
 def test_little_padding(spark):
     lengths = packing.pack_documents(spark.read.parquet(f"{SMALL}/documents.parquet"), queries.tokenizer_file("byte_bpe_50k.json"), with_ids=False)
     used, sequences = lengths.agg(F.sum("length"), F.countDistinct("sequence_id")).first()

@@ -1,12 +1,13 @@
 from collections import Counter
 
 import corpus_pipeline
+import numpy as np
 from llm_data import SMALL
 from pyspark.sql import functions as F
 from test_dedup import plain_components, plain_cut, plain_print
 from tokenizers import Tokenizer
 
-from candlelake.llm import mixing, quality, queries
+from candlelake.llm import mixing, packing, quality, queries
 
 
 def test_pipeline_equals_plain_stages(spark):
@@ -41,3 +42,16 @@ def test_stages_keep_the_columns_and_survive_edges(spark, edge_docs, no_docs):
             docs = stage(spark, docs, SMALL)
             assert docs.columns == given.columns
         assert (corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() > 0) == (given is edge_docs)
+
+
+def test_sequences_can_be_rebuilt_from_the_pipeline(spark):
+    tokenizer = Tokenizer.from_file(queries.tokenizer_file("byte_bpe_50k.json"))
+    docs = spark.createDataFrame([(1, "one two three"), (1, "one two three"), (None, None), (2, "four " * 3000)], "doc_id long, text string")
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL)
+    whole = {r["sequence_id"]: r["ids"] for r in packing.sequences(packed).collect()}
+    wanted = Counter()
+    for r in docs.collect():
+        ids = np.array(tokenizer.encode(r["text"] or "", add_special_tokens=False).ids + [0], "<u4").tobytes()
+        wanted.update((r["doc_id"], at // 4, ids[at : at + 4096]) for at in range(0, len(ids), 4096))
+    rows = packed.collect()
+    assert Counter((r["doc_id"], r["start"], whole[r["sequence_id"]][4 * r["offset"] : 4 * (r["offset"] + r["length"])]) for r in rows) == wanted
