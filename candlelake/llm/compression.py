@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,11 +30,12 @@ class Fitted:
     weights: np.ndarray
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, wanted: Column, rows: int = SAMPLE_ROWS) -> dict[int, list[str]]:
-    """Texts by label 0 and 1: at most ``rows`` labelled ids each, those with the smallest hashes.
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, wanted: Column, rows: int = SAMPLE_ROWS, group: str = "lang") -> list[Row]:
+    """Rows (label, text, group) of labels 0 and 1: at most ``rows`` labelled ids each, those with the smallest hashes.
 
     Only ids where ``wanted`` holds are used; texts longer than ``SAMPLE_BYTES_PER_TEXT`` are left out, and equal
-    texts count once. The sample, not the corpus, reaches the driver: 120 MB at most.
+    texts count once. The sample, not the corpus, reaches the driver: 120 MB at most. Without the column ``group`` all
+    texts are of one.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
     known = known.where(wanted & F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).distinct()
@@ -42,13 +43,20 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, wanted: Colu
     chosen = [known.where(F.col("label") == k).orderBy(key, "doc_id").limit(rows) for k in (0, 1)]
     # Bounded by twice ``rows`` ids.
     ids = F.broadcast(chosen[0].unionByName(chosen[1]).withColumnRenamed("doc_id", "__id"))
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    part = F.coalesce(F.col(group).cast("string"), F.lit("")) if group in docs.columns else F.lit("")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), part.alias("group"))
     short = own.where(F.octet_length("text") <= SAMPLE_BYTES_PER_TEXT)
-    found = short.join(ids, F.col("doc_id") == F.col("__id")).select("label", "text").distinct()
-    sample: dict[int, list[str]] = {0: [], 1: []}
-    for row in found.orderBy("label", "text").limit(4 * rows).collect():
-        sample[row["label"]].append(row["text"])
-    return sample
+    found = short.join(ids, F.col("doc_id") == F.col("__id")).groupBy("label", "text").agg(F.min("group").alias("group"))
+    return found.orderBy("label", "text").limit(4 * rows).collect()
+
+
+def by_label(rows: list[Row]) -> dict[int, list[str]]:
+    return {k: [r["text"] for r in rows if r["label"] == k] for k in (0, 1)}
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, wanted: Column, rows: int = SAMPLE_ROWS) -> dict[int, list[str]]:
+    """Texts of ``labelled_rows`` by label."""
+    return by_label(labelled_rows(docs, labels, label, wanted, rows))
 
 
 def trained(samples: list[bytes], size: int) -> bytes:

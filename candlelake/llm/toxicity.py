@@ -1,30 +1,34 @@
 """Toxicity of documents by compression distance.
 
-Two zstandard dictionaries are trained: one on ordinary text, one on what toxic text has and ordinary text has
-not (a toxic text is ordinary for the most part). A window is compressed with the first, and with both together;
+Two zstandard dictionaries are made: one trained on ordinary text, one of the words that toxic text has and ordinary
+text has not (a toxic text is ordinary for the most part). A window is compressed with the first, and with both together;
 the bytes that the toxic dictionary saves, compared over all windows, are calibrated to a score.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlelake.llm.compression import Fitted, compressors, fit_calibration, labelled_sample, lengths, scored, trained
+from candlelake.llm.compression import Fitted, by_label, compressors, fit_calibration, labelled_rows, lengths, scored, trained
 
-ORDINARY, TOXIC, WINDOW, OVERLAP, LEVEL = 65_536, 1024, 128, 16, 9
+ORDINARY, WINDOW, OVERLAP, LEVEL = 65_536, 128, 16, 9
 #: Bytes that a window must save to count.
 SAVED = 3
-#: A word is distinctive if toxic texts have it so much more often than ordinary ones, in this share of them and in so
-#: many at least: rarer words come from a few near copies.
-TIMES, TEXT_SHARE, TEXTS = 4.0, 0.02, 5
+#: A word is distinctive if toxic texts have it so much more often than ordinary ones, and if fewer than so many words
+#: would be found by chance.
+TIMES, BY_CHANCE = 4.0, 0.05
+#: Words on each side of a word: with neighbours that an earlier text has, it is a copy. An edit nearer than that hides it.
+NEIGHBOURS = 3
 TRAINING_WINDOWS = 20_000
 CALIBRATION_SHARE = 3
-WORDS = re.compile(rb"[a-z\x80-\xff]+")
+#: Letters and digits, also with signs between them or a sign for the first letter.
+WORDS = re.compile(rb"[@$]?[a-z0-9\x80-\xff]+(?:[-'@$*!_+#]+[a-z0-9\x80-\xff]+)*")
 
 
 def windows(text: str) -> list[bytes]:
@@ -44,37 +48,84 @@ def features(fitted: Fitted, text: str) -> np.ndarray:
     return np.array([saved.mean(), (saved >= SAVED).mean(), top.mean(), saved.max(), a.sum() / size, np.log(size)])
 
 
-def distinctive(toxic: list[str], ordinary: list[str]) -> list[bytes]:
-    """The words of the toxic texts that far more of them have than of the ordinary ones, in lines of eight."""
-    found = [[WORDS.findall(t.lower().encode()) for t in texts] for texts in (toxic, ordinary)]
-    counts = [Counter(w for words in texts for w in set(words)) for texts in found]
-    shares = [max(1, len(texts)) for texts in found]
-    least = min(max(TEXTS, TEXT_SHARE * len(toxic)), max(1, len(toxic) // 8))
-    own = {
-        w for w, n in counts[0].items()
-        if n >= least and len(w) > 2 and (n + 0.5) / shares[0] > TIMES * (counts[1][w] + 0.5) / shares[1]
+def text_counts(texts: list[str]) -> Counter:
+    """In how many texts each word occurs; a word between neighbours that an earlier text has is a copy of that one's."""
+    import xxhash
+
+    counts: Counter = Counter()
+    seen: set[int] = set()
+    for text in texts:
+        words = WORDS.findall(text.lower().encode())
+        own = {}
+        for at, word in enumerate(words):
+            near = xxhash.xxh64_intdigest(b" ".join(words[max(0, at - NEIGHBOURS) : at + NEIGHBOURS + 1]))
+            own.setdefault(near, word)
+        counts.update({word for near, word in own.items() if near not in seen})
+        seen.update(own)
+    return counts
+
+
+def by_chance(toxic: int, texts: int, share: float) -> float:
+    """A bound (Chernoff's) on the chance that ``toxic`` or more of ``texts`` are toxic where ``share`` of them should be."""
+    found = toxic / texts
+    if found <= share:
+        return 1.0
+    rest = (1 - found) * math.log((1 - found) / (1 - share)) if found < 1 else 0.0
+    return math.exp(-texts * (found * math.log(found / share) + rest))
+
+
+def distinctive(toxic: list[str], ordinary: list[str], languages: dict[str, str] | None = None) -> list[bytes]:
+    """The words that far more toxic texts have than ordinary ones of the same languages, the most frequent last.
+
+    A word counts if it stands out in one language, or in all of them together; how often it must occur follows from the
+    number of words that are tested, not from a share of the texts.
+    """
+    languages = languages or {}
+    counts: list[dict[str, Counter]] = [{}, {}]
+    sizes: list[Counter] = [Counter(), Counter()]
+    for k, texts in enumerate((ordinary, toxic)):
+        parts = defaultdict(list)
+        for text in texts:
+            parts[languages.get(text, "")].append(text)
+        counts[k] = {language: text_counts(own) for language, own in parts.items()}
+        sizes[k] = Counter({language: len(own) for language, own in parts.items()})
+    # A language without ordinary texts tells nothing about its words.
+    shares = {x: sizes[1][x] / (sizes[0][x] + sizes[1][x]) for x in sizes[1] if sizes[0][x]}
+    tests: list[tuple[bytes, int, int, float]] = []
+    total: dict[bytes, list[float]] = defaultdict(lambda: [0, 0, 0.0])
+    for language, share in shares.items():
+        plain = counts[0][language]
+        for word, n in counts[1][language].items():
+            tests.append((word, n, n + plain[word], share))
+        for word in counts[1][language].keys() | plain.keys():
+            n, both = counts[1][language][word], counts[1][language][word] + plain[word]
+            sums = total[word]
+            sums[0], sums[1], sums[2] = sums[0] + n, sums[1] + both, sums[2] + both * share
+    if len(shares) > 1:
+        tests += [(word, n, both, expected / both) for word, (n, both, expected) in total.items() if n]
+    found = {
+        word for word, n, both, share in tests
+        if (n + 0.5) * (1 - share) > TIMES * (both - n + 0.5) * share and by_chance(n, both, share) * len(tests) < BY_CHANCE
     }
-    lines = []
-    for words in found[0]:
-        kept = [w for w in words if w in own]
-        lines += [b" " + b" ".join(kept[at : at + 8]) + b" " for at in range(0, len(kept), 8)]
-    return lines
+    return sorted(found, key=lambda word: (total[word][0], word))
 
 
-def fit_texts(sample: dict[int, list[str]]) -> Fitted:
-    """Fit on texts by label (1 toxic). Every third calibrates, the others make the dictionaries."""
+def fit_texts(sample: dict[int, list[str]], languages: dict[str, str] | None = None) -> Fitted:
+    """Fit on texts by label (1 toxic), with the languages of texts. Every third calibrates, the others make the
+    dictionaries; that of toxic words holds all that were found."""
     calibrate = {k: texts[::CALIBRATION_SHARE] for k, texts in sample.items()}
     learn = {k: [t for i, t in enumerate(texts) if i % CALIBRATION_SHARE] for k, texts in sample.items()}
     plain = [w for t in learn[0] for w in windows(t)]
     step = max(1, len(plain) // TRAINING_WINDOWS)
     ordinary = trained(plain[::step], ORDINARY)
-    toxic = trained(distinctive(learn[1], learn[0]), TOXIC)
+    toxic = b" ".join([b"", *distinctive(learn[1], learn[0], languages), b""])
     return fit_calibration((ordinary, ordinary + toxic), LEVEL, True, calibrate, features)
 
 
 def fit(docs: DataFrame, labels: DataFrame, wanted: Column | None = None) -> Fitted:
     """Fit on a bounded sample of labelled documents (label column ``toxic``), of those ``wanted``."""
-    return fit_texts(labelled_sample(docs, labels, "toxic", F.lit(True) if wanted is None else wanted))
+    rows = labelled_rows(docs, labels, "toxic", F.lit(True) if wanted is None else wanted)
+    return fit_texts(by_label(rows), {r["text"]: r["group"] for r in rows})
 
 
 def toxicity(text: Column, fitted: Fitted) -> Column:

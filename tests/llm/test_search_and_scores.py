@@ -1,4 +1,5 @@
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -121,6 +122,40 @@ def test_scores_of_edges(spark, edge_docs, no_docs, module, label):
     assert module.fit(no_docs, labels).weights.shape == fitted.weights.shape
 
 
+def made_texts(seed, n, language, extra=()):
+    """Texts of 40 words of a language; each word of ``extra`` goes into some of them."""
+    rng = random.Random(seed)
+    texts = [[f"{language}{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}" for _ in range(40)] for _ in range(n)]
+    for word, times in extra:
+        for text in rng.sample(texts, times):
+            text.insert(rng.randrange(len(text)), word)
+    return [" ".join(t) for t in texts]
+
+
+def test_rare_toxic_words_are_learned():
+    # Each is in 36 of 2,100 toxic texts: words of a small language, of a long tail, and with digits and signs inside.
+    tail = [(f"tail{chr(97 + k // 26)}{chr(97 + k % 26)}", 36) for k in range(300)]
+    large = made_texts(1, 2000, "en", [*tail, ("id10t", 36), ("f*ol", 36)])
+    small = made_texts(2, 100, "xx", [("schlimm", 36)])
+    plain = made_texts(3, 2000, "en") + made_texts(4, 100, "xx")
+    copies = [f"nummer {k} {large[0]} kopie" for k in range(40)]
+    languages = dict.fromkeys(large + copies, "en") | dict.fromkeys(small, "xx") | {t: t[:2] for t in plain}
+    wanted = {w.encode() for w, _ in tail} | {b"id10t", b"f*ol", b"schlimm"}
+    found = set(toxicity.distinctive(large + small + copies, plain, languages))
+    assert wanted <= found and b"kopie" not in found
+    assert len(found - wanted) <= 3
+    # The dictionary has room for all words found in two thirds of the texts; a few have too few texts left there.
+    fitted = toxicity.fit_texts({0: plain, 1: large + small}, languages)
+    assert sum(b" " + w + b" " in fitted.dictionaries[1] for w in wanted) >= 0.9 * len(wanted)
+    assert len(fitted.dictionaries[1]) - len(fitted.dictionaries[0]) > 1024
+
+
+def test_a_language_with_more_toxic_texts_is_no_sign():
+    toxic, plain = made_texts(1, 100, "en") + made_texts(2, 400, "xx"), made_texts(3, 400, "en") + made_texts(4, 30, "xx")
+    languages = {t: t[:2] for t in toxic + plain}
+    assert len(toxicity.distinctive(toxic, plain, languages)) <= 3
+
+
 def test_records_round_trip(spark, edge_docs, no_docs):
     path = queries.tokenizer_file("word_bpe_49k.json")
     tokenizer = Tokenizer.from_file(path)
