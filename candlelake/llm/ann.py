@@ -78,12 +78,14 @@ def visited(near: np.ndarray, other: np.ndarray, counts: np.ndarray, wanted: int
     return cells
 
 
-def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, embedding array<double>) of the rows that take part: an id, and a vector of the most common length
-    that is neither null nor zero and has no null, NaN or infinite component."""
+def usable(vectors: DataFrame, length: int | None = None) -> DataFrame:
+    """(vec_id, embedding array<double>) of the rows that take part: an id, and a vector of the given or else the most
+    common length that is neither null nor zero and has no null, NaN or infinite component."""
     typed = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     sound = typed.where(F.col("vec_id").isNotNull() & finite & F.exists("embedding", lambda x: x != 0.0))
+    if length is not None:
+        return sound.where(F.size("embedding") == length)
     lengths = sound.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
     return sound.where(F.size("embedding") == (lengths["n"] if lengths else 0))
 
@@ -233,7 +235,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 10, recall: floa
         counts[row["cell"]] = row["count"]
     wanted = max(k + 1, depth(placed, one, two, counts, k, recall))
     first, parts = groups_of_cells(counts)
-    asked = usable(queries).where(F.size("embedding") == one.shape[1] + two.shape[1]).dropDuplicates(["vec_id"])
+    asked = usable(queries, one.shape[1] + two.shape[1]).dropDuplicates(["vec_id"])
     # Walking the heap is the work of a query, not reading it: few of them to a task, whatever their size in bytes.
     tasks = min(MOST_TASKS, -(-max(1, asked.count()) // QUERIES_PER_TASK))
     asked = asked.repartition(tasks, "vec_id")

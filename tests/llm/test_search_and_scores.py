@@ -122,6 +122,14 @@ def test_scores_of_edges(spark, edge_docs, no_docs, module, label):
     assert module.fit(no_docs, labels).weights.shape == fitted.weights.shape
 
 
+def test_queries_of_the_indexed_length_are_answered(spark):
+    """The length is that of the indexed vectors, whichever most queries have."""
+    vectors = spark.createDataFrame([(i, [float(i), 1.0], None, None) for i in range(20)], VECTORS)
+    asked = spark.createDataFrame([(100, [3.2, 1.0], None, None), (101, [1.0] * 3, None, None), (102, [2.0] * 3, None, None)], VECTORS)
+    found = {(r["query_id"], r["rank"]): r["vec_id"] for r in ann.nearest(vectors, asked, k=2).collect()}
+    assert found == {(100, 1): 3, (100, 2): 4}
+
+
 def made_texts(seed, n, language, extra=()):
     """Texts of 40 words of a language; each word of ``extra`` goes into some of them."""
     rng = random.Random(seed)
