@@ -11,7 +11,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlelake.llm import ann, fingerprint, mixing, packing, quality, records, sharding, simhash, substring, toxicity
+from candlelake.llm import (
+    ann,
+    fingerprint,
+    mixing,
+    packing,
+    periodic,
+    quality,
+    records,
+    rules,
+    sharding,
+    simhash,
+    substring,
+    toxicity,
+    whitening,
+)
 from candlelake.llm.common import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -176,3 +190,101 @@ def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
     return ann.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+@query(
+    "op11_rules",
+    r"""
+    WITH texts AS (
+        SELECT row_number() OVER () AS row_id, doc_id, source, coalesce(text, '') AS text FROM documents
+    ), split AS MATERIALIZED (
+        SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+               list_filter(string_split(text, chr(10)), lambda line: regexp_matches(line, '[^\x20\x09-\x0D]')) AS lines
+        FROM texts
+    ), places AS (
+        SELECT row_id, unnest(range(1, len(words) - 3)) AS place,
+               unnest(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) AS stretch
+        FROM split
+    ), twice AS (
+        SELECT row_id, list(place) AS places FROM places GROUP BY row_id, stretch HAVING count(*) > 1
+    ), starts AS (
+        SELECT row_id, unnest(places) AS place FROM twice
+    ), repeated AS (
+        SELECT row_id, count(DISTINCT place + step) AS n_repeat_words
+        FROM starts, (SELECT unnest(range(0, 5)) AS step) GROUP BY row_id
+    ), measured AS (
+        SELECT doc_id, source, len(words)::BIGINT AS n_words,
+               length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+               (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+               (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+               coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+        FROM split LEFT JOIN repeated USING (row_id)
+    ), judged AS MATERIALIZED (
+        SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measured
+    ), hosts AS (
+        SELECT source, count(*)::BIGINT AS host_docs, count_if(base_failed)::BIGINT AS host_failures
+        FROM judged WHERE source IS NOT NULL GROUP BY source
+    ), sums AS (
+        SELECT count(*)::DOUBLE AS h, sum(host_docs)::DOUBLE AS n, sum(host_failures)::DOUBLE AS k,
+               sum(host_docs::DOUBLE * host_docs) AS nn, sum(host_failures::DOUBLE * host_failures / host_docs) AS kk
+        FROM hosts
+    ), moments AS (
+        SELECT k / n AS mean, ((kk - k * k / n) / nullif(k / n * (1 - k / n), 0) - (h - 1)) / nullif(n - nn / n - (h - 1), 0) AS between_hosts
+        FROM sums
+    ), rates AS (
+        SELECT source, host_docs, host_failures,
+               CASE WHEN between_hosts > 0 THEN (host_failures + mean * strength) / (host_docs + strength) ELSE mean END AS rate
+        FROM hosts, (SELECT *, greatest(2.0, 1 / least(1.0, between_hosts) - 1) AS strength FROM moments)
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND coalesce(rate <= 0.5, true) AS kept, host_docs, host_failures
+    FROM judged LEFT JOIN rates USING (source)
+    """,
+)
+def op11_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.judge(documents(spark, sf_dir))
+    return judged.select("doc_id", *rules.MEASURES, "base_failed", "kept", "host_docs", "host_failures")
+
+
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def tail_repeated(text: Column, doc_id: Column) -> Column:
+    """The text of the contract: of every tenth id, by its crc32, the end is replaced by repeats of its first words."""
+    words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("([^\\x20\\x09-\\x0D]+)"), F.lit(1))
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    n, g = F.size(words), F.floor(h / 10)
+    # Without words there is nothing to divide by.
+    a = g % F.nullif(n, F.lit(0))
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    start, length = a.cast("int"), p.cast("int")
+    times = F.ceil((n - a) / p).cast("int")
+    repeats = F.flatten(F.array_repeat(F.slice(words, start + 1, length), times))
+    repeated = F.slice(F.concat(F.slice(words, F.lit(1), start), repeats), F.lit(1), n)
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(repeated, " ")).otherwise(text)
+
+
+@query("op13_runs")
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = docs.select("doc_id", periodic.periodic(tail_repeated(F.col("text"), F.col("doc_id"))).alias("__p"))
+    rows = found.select("doc_id", "__p.*")
+
+    def greater(best: Column, run: Column) -> Column:
+        longer = run["length"] * best["period"] > best["length"] * run["period"]
+        return F.when(best.isNull() | longer, run).otherwise(best)
+
+    # Runs are in order, so the first of equal exponents stays.
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), greater)
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), "")
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[best[name].alias(name) for name in ("start", "length", "period")],
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
