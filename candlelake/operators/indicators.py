@@ -20,14 +20,14 @@ from candlelake.operators.scan import (
     CHUNK,
     PART,
     RANK,
+    ChunkLength,
     carry_forward,
-    default_chunk_seconds,
     fold_step,
     is_row,
     sequence_index,
     series_window,
-    time_chunk,
     with_carry_rows,
+    with_chunk,
 )
 from candlelake.schema import GOLD_COLUMNS, SERIES_KEY, SERIES_ORDER
 
@@ -135,7 +135,7 @@ def ema(
     start_index: int = 0,
     by: Sequence[str] = SERIES_KEY,
     order: Sequence[str] = SERIES_ORDER,
-    chunk_seconds: Column | int | None = None,
+    chunk_seconds: ChunkLength = None,
 ) -> DataFrame:
     """Exponential moving average of one column.
 
@@ -146,7 +146,6 @@ def ema(
         raise ValueError("alpha must be in (0, 1]")
     if start_index < 0:
         raise ValueError("start_index must not be negative")
-    chunk_seconds = default_chunk_seconds(by) if chunk_seconds is None else chunk_seconds
     value = F.col(source).cast("double")
     keys = list(by)
     rows = frame.withColumn("_x", value)
@@ -155,7 +154,7 @@ def ema(
         indexed = sequence_index(rows, "_index", by=by, order=order, chunk_seconds=chunk_seconds)
         rows = indexed.withColumn("_started", F.col("_index") >= start_index)
         keys.append("_started")
-    chunked = rows.withColumn(CHUNK, time_chunk(order[0], chunk_seconds))
+    chunked = with_chunk(rows, by, order[0], chunk_seconds)
     averaged = _ema_from_first_row(chunked, keys, order, alpha)
     shown = F.when(F.col("_started"), F.col("_ema")) if start_index > 0 else F.col("_ema")
     return averaged.select(*frame.columns, shown.alias(output))
@@ -334,12 +333,10 @@ def _carry_rows(carries: DataFrame) -> DataFrame:
     )
 
 
-def with_indicators(frame: DataFrame, chunk_seconds: Column | int | None = None) -> DataFrame:
+def with_indicators(frame: DataFrame, chunk_seconds: ChunkLength = None) -> DataFrame:
     """Add the seven indicator columns to candles; columns that are not selected are not computed."""
-    chunk_seconds = default_chunk_seconds(SERIES_KEY) if chunk_seconds is None else chunk_seconds
-    chunked = frame.withColumn("close", F.col("close").cast("double")).withColumn(
-        CHUNK, time_chunk(SERIES_ORDER[0], chunk_seconds)
-    )
+    closes = frame.withColumn("close", F.col("close").cast("double"))
+    chunked = with_chunk(closes, SERIES_KEY, SERIES_ORDER[0], chunk_seconds)
     along_chunk = series_window(SERIES_KEY, SERIES_ORDER)
     delta = F.col("close") - F.lag("close").over(along_chunk)
     narrow = chunked.select(*SERIES_KEY, *SERIES_ORDER, "close", CHUNK, F.lit(0).alias(RANK))
@@ -419,6 +416,6 @@ def rsi(avg_gain: Column, avg_loss: Column) -> Column:
     )
 
 
-def calculate_indicators(frame: DataFrame, chunk_seconds: Column | int | None = None) -> DataFrame:
+def calculate_indicators(frame: DataFrame, chunk_seconds: ChunkLength = None) -> DataFrame:
     """Candles with EMA-12, EMA-26, MACD, RSI-14 and Bollinger bands, on the Gold column list."""
     return with_indicators(frame, chunk_seconds).select(*GOLD_COLUMNS)

@@ -10,6 +10,7 @@ the rows of its chunk as one more row at the front of their window.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ PART = "_part"
 GROUP = "_group"
 CARRY = "_carry"
 RANK = "_rank"
+SPLITS = "_splits"
 
 # A chunk spans as much time as this many candles of its interval take. The calendar bounds the number
 # of chunks: a century of one-second candles has 48,000, whatever the number of rows.
@@ -55,6 +57,23 @@ def time_chunk(time: Column | str, chunk_seconds: Column | int) -> Column:
     return F.floor(F.unix_seconds(time.cast("timestamp")) / chunk_seconds).cast("bigint")
 
 
+class MeasuredChunks(Protocol):
+    """Chunks by the count of rows, see ``chunks.measured_chunks``."""
+
+    def number(self, frame: DataFrame, time: str) -> DataFrame: ...
+
+
+#: Chunks of a series: measured, or of a length in seconds; None is by the interval label.
+ChunkLength = MeasuredChunks | Column | int | None
+
+
+def with_chunk(frame: DataFrame, by: Sequence[str], time: str, chunks: ChunkLength) -> DataFrame:
+    """Add ``_chunk``; a row without a time has NULL, which is the first chunk of its series."""
+    if chunks is None or isinstance(chunks, (Column, int)):
+        return frame.withColumn(CHUNK, time_chunk(time, default_chunk_seconds(by) if chunks is None else chunks))
+    return chunks.number(frame, time).drop(SPLITS)
+
+
 def carry_forward(
     parts: DataFrame, by: Sequence[str], merge: Callable[[Column, Column], Column]
 ) -> DataFrame:
@@ -92,7 +111,8 @@ def carry_forward(
     totals = runs.select(*by, GROUP, total.alias(PART))
     before = items(totals, GROUP).select(*by, F.inline(entries(nothing, GROUP)))
     named = before.toDF(*[f"_before_{name}" for name in by], "_before_group", "_entering")
-    same = F.col(GROUP) == F.col("_before_group")
+    # Null-safe like the keys: rows without a time are a chunk of their own, and no branch filters what the other reads.
+    same = F.col(GROUP).eqNullSafe(F.col("_before_group"))
     for name in by:
         same = same & F.col(name).eqNullSafe(F.col(f"_before_{name}"))
     return runs.join(named, same).select(*by, F.inline(entries(F.col("_entering"), CHUNK)))
@@ -129,11 +149,10 @@ def sequence_index(
     *,
     by: Sequence[str] = SERIES_KEY,
     order: Sequence[str] = SERIES_ORDER,
-    chunk_seconds: Column | int | None = None,
+    chunk_seconds: ChunkLength = None,
 ) -> DataFrame:
     """Zero-based position of each row in its series."""
-    chunk_seconds = default_chunk_seconds(by) if chunk_seconds is None else chunk_seconds
-    chunked = frame.withColumn(CHUNK, time_chunk(order[0], chunk_seconds))
+    chunked = with_chunk(frame, by, order[0], chunk_seconds)
     parts = chunked.groupBy(*by, CHUNK).agg(F.struct(F.count(F.lit(1)).alias("n")).alias(PART))
     carries = carry_forward(parts, by, lambda a, b: F.struct((a["n"] + b["n"]).alias("n"))).select(
         *by, CHUNK, F.lit(-1).alias(RANK), F.coalesce(f"{CARRY}.n", F.lit(0)).alias("_before")
@@ -156,11 +175,10 @@ def previous_value(
     *,
     by: Sequence[str] = SERIES_KEY,
     order: Sequence[str] = SERIES_ORDER,
-    chunk_seconds: Column | int | None = None,
+    chunk_seconds: ChunkLength = None,
 ) -> DataFrame:
     """Value of ``source`` in the row before, NULL in the first row of a series."""
-    chunk_seconds = default_chunk_seconds(by) if chunk_seconds is None else chunk_seconds
-    chunked = frame.withColumn(CHUNK, time_chunk(order[0], chunk_seconds))
+    chunked = with_chunk(frame, by, order[0], chunk_seconds)
     last = F.max_by(F.struct(F.col(source).alias("x")), F.struct(*order))
     parts = chunked.groupBy(*by, CHUNK).agg(last.alias(PART))
     carries = carry_forward(parts, by, lambda _, later: later).select(

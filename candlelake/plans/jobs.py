@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlelake.config import JobConfig, under
+from candlelake.operators.chunks import Chunks, measured_chunks
 from candlelake.operators.indicators import calculate_indicators
-from candlelake.operators.scan import chunk_seconds_by_density
+from candlelake.operators.scan import ChunkLength
 from candlelake.operators.silver import build_silver
 from candlelake.plans.restitution import latest_snapshot, merge_snapshot
 from candlelake.plans.serving import SERVING_TABLES, ServingContext, materialize_serving_tables
@@ -19,6 +20,8 @@ from candlelake.schema import (
     GOLD_PARTITIONS,
     GOLD_SCHEMA,
     GOLD_SOURCE_COLUMNS,
+    SERIES_KEY,
+    SERIES_ORDER,
     SILVER_PARTITIONS,
     SILVER_SCHEMA,
     project,
@@ -27,12 +30,17 @@ from candlelake.sources.readers import catalog_table, parquet_dataset
 from candlelake.sources.sinks import dataset_exists, replace_parquet_dataset, write_jdbc_table, write_table
 
 
-def build_gold(silver: DataFrame, chunk_seconds: int | None = None) -> DataFrame:
+def build_gold(silver: DataFrame, chunk_seconds: ChunkLength = None) -> DataFrame:
     """Candles with their indicators and calendar day."""
     candles = project(silver, GOLD_SOURCE_COLUMNS)
     return calculate_indicators(candles, chunk_seconds).withColumn("event_date", F.to_date("open_time"))
 
 
+def gold_chunks(silver: DataFrame) -> Chunks:
+    """Chunks of stored candles that no burst overfills."""
+    return measured_chunks(silver, SERIES_KEY, SERIES_ORDER[0])
+
+
 def run_silver(spark: SparkSession, bronze_path: str, silver_path: str) -> None:
     silver = build_silver(parquet_dataset(spark, bronze_path, BRONZE_SCHEMA))
     replace_parquet_dataset(silver, silver_path, SILVER_PARTITIONS)
@@ -46,22 +54,22 @@ def run_silver_table(spark: SparkSession, bronze_path: str, database: str, table
 def run_gold(spark: SparkSession, silver_path: str, gold_path: str) -> None:
     """Indicators of the stored Silver dataset, in chunks that hold as many rows as a task should see."""
     silver = parquet_dataset(spark, silver_path, SILVER_SCHEMA)
-    gold = build_gold(silver, chunk_seconds_by_density(silver))
-    replace_parquet_dataset(gold, gold_path, GOLD_PARTITIONS)
+    replace_parquet_dataset(build_gold(silver, gold_chunks(silver)), gold_path, GOLD_PARTITIONS)
 
 
 def run_gold_table(
     spark: SparkSession, silver: tuple[str, str], gold: tuple[str, str]
 ) -> None:
-    """Gold from and to catalog tables, each given as database and table."""
-    write_table(build_gold(catalog_table(spark, *silver)), *gold, GOLD_PARTITIONS)
+    """Gold from and to catalog tables, each given as database and table; chunks as in ``run_gold``."""
+    candles = catalog_table(spark, *silver)
+    write_table(build_gold(candles, gold_chunks(candles)), *gold, GOLD_PARTITIONS)
 
 
 def run_serving(
     spark: SparkSession, gold_path: str, output_base_path: str, context: ServingContext
 ) -> None:
     """Serving tables from the stored Gold dataset, which all of them scan instead of recomputing it."""
-    gold = parquet_dataset(spark, gold_path, GOLD_SCHEMA)
+    gold, context = parquet_dataset(spark, gold_path, GOLD_SCHEMA), replace(context, measured=True)
     for table, frame in materialize_serving_tables(gold, context):
         replace_parquet_dataset(frame, under(output_base_path, table.name), table.partition_columns)
 
@@ -89,7 +97,7 @@ def run_datamart(
     **jdbc,
 ) -> None:
     """Serving tables from a Gold table to a database; ``targets`` maps table names to target names."""
-    for table, frame in materialize_serving_tables(catalog_table(spark, *gold), context):
+    for table, frame in materialize_serving_tables(catalog_table(spark, *gold), replace(context, measured=True)):
         write_jdbc_table(frame, url, targets[table.name], user, password, table.mode, **jdbc)
 
 

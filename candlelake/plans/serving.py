@@ -26,6 +26,7 @@ class ServingContext:
     context_intervals: tuple[str, ...] = ("15m", "1h")
     processing_timestamp: datetime | None = None
     match_on: str = "open_time"
+    measured: bool = False
 
     def __post_init__(self) -> None:
         if len(self.context_intervals) != 2:
@@ -60,9 +61,11 @@ def market_indicators_latest(gold: DataFrame, context: ServingContext) -> DataFr
 def market_multitimeframe_signals(gold: DataFrame, context: ServingContext) -> DataFrame:
     """Base candles with trend, RSI and MACD of the two context intervals as of each candle.
 
-    With ``match_on="open_time"`` a context candle counts from its opening on, before it is complete.
+    With ``match_on="open_time"`` a context candle counts from its opening on, before it is complete. Chunks span as many
+    base candles as a task should see; with ``context.measured`` they are cut by counting the rows of Gold.
     """
     first, second = context.context_intervals
+    chunks = None if context.measured else interval_seconds(F.lit(context.base_interval)) * CHUNK_CANDLES
     interval = F.col("interval")
     joined = asof_contexts(
         gold.select("symbol", "interval", "open_time", "close_time", "close", "volume", "ema_26", "rsi_14", "macd"),
@@ -72,7 +75,7 @@ def market_multitimeframe_signals(gold: DataFrame, context: ServingContext) -> D
         context_time=context.match_on,
         contexts={"_first": interval == first, "_second": interval == second},
         columns=["close", "ema_26", "rsi_14", "macd"],
-        chunk_seconds=interval_seconds(F.lit(context.base_interval)) * CHUNK_CANDLES,
+        chunk_seconds=chunks,
     )
     one, two = F.col("_first"), F.col("_second")
     score = signal_score(F.col("macd"), one["macd"], two["macd"])

@@ -655,7 +655,6 @@ def asof_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         left_on="l_shipdate",
         right_on="o_orderdate",
         columns=["o_totalprice", "o_custkey"],
-        chunk_seconds=30 * 86400,
     )
     return joined.drop("grp").select("*", "match.*").drop("match")
 
