@@ -6,6 +6,7 @@ import sys
 import tempfile
 import types
 import uuid
+from bisect import bisect_right
 from collections.abc import Sequence
 
 import numpy as np
@@ -84,19 +85,23 @@ def number_rows(frame: DataFrame, order: Sequence[Column], name: str) -> DataFra
     return joined.withColumn(name, F.col(before) + position).drop(place, part, before)
 
 
-def ordered_chunks(frame: DataFrame, id_column: str, rows: int, chunk: str) -> tuple[DataFrame, int]:
-    """Add the number of a chunk of about ``rows`` rows; chunks follow each other by id, nulls in the last.
+def ordered_chunks(frame: DataFrame, rows: int, chunk: str) -> tuple[DataFrame, int]:
+    """Add to (doc_id, text) the number of a chunk; chunks follow each other by id, nulls last, then by a hash of the text.
 
-    The bounds are quantiles of the id, at most ``MOST_CHUNKS``; equal ids share a chunk.
+    The bounds are every ``rows``-th pair of id and hash in their global order, so rows without an id and rows of one id
+    are cut like any others; rows equal in both share a chunk. From ``MOST_CHUNKS`` chunks on, which are what the driver
+    holds, chunks grow instead: whoever reads one has to stream it.
     """
-    n = min(MOST_CHUNKS, max(1, -(-frame.count() // rows)))
-    asked = [k / n for k in range(1, n)]
-    found = frame.approxQuantile(id_column, asked, min(0.01, 1 / (8 * n))) if asked else []
-    bounds = np.unique(np.array(found, dtype=float))
+    order = [F.col("doc_id").asc_nulls_last(), F.col("__hash")]
+    numbered = stored(number_rows(frame.select("doc_id", F.xxhash64("text").alias("__hash")), order, "__n"))
+    every = max(rows, -(-numbered.count() // MOST_CHUNKS))
+    cuts = numbered.where((F.col("__n") % every == 0) & (F.col("__n") > 0)).select("doc_id", "__hash").collect()
+    bounds = sorted({(r[0] is None, r[0] or 0, r[1]) for r in cuts})
 
     @F.pandas_udf(T.IntegerType())
-    def chunk_of(ids: pd.Series) -> pd.Series:
-        values = ids.to_numpy(dtype=float, na_value=np.inf)
-        return pd.Series(np.searchsorted(bounds, values, side="right").astype(np.int32))
+    def chunk_of(ids: pd.Series, missing: pd.Series, hashes: pd.Series) -> pd.Series:
+        places = [bisect_right(bounds, key) for key in zip(missing.tolist(), ids.tolist(), hashes.tolist(), strict=True)]
+        return pd.Series(places, dtype=np.int32)
 
-    return frame.withColumn(chunk, chunk_of(F.col(id_column))), len(bounds) + 1
+    doc_id = F.col("doc_id")
+    return frame.withColumn(chunk, chunk_of(F.coalesce(doc_id, F.lit(0).cast("long")), doc_id.isNull(), F.xxhash64("text"))), len(bounds) + 1

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from candlelake.llm.common import ordered_chunks
 
-SHINGLE, FRACTION, HASH_BITS = 5, 8, 48
+SHINGLE, FRACTION, HASH_BITS = 5, 2, 48
 DIGITS = HASH_BITS // 4
 ROWS_PER_CHUNK = 4096
 
@@ -28,35 +28,49 @@ COMPARED = (
 )
 
 
-def sketch(text: str) -> np.ndarray:
-    """Sorted hashes of the lower-cased five-word shingles below 1/8 of the range of 48 bits.
+def sketched(text: str) -> tuple[np.ndarray, int | None]:
+    """The sketch: sorted hashes of the lower-cased five-word shingles below half the range of 48 bits.
 
-    Fewer words are one shingle, no words give no hash. Where no hash is below the threshold the smallest stands for
-    the text, so only texts without words have an empty sketch.
+    Fewer words are one shingle. A text of few shingles may have no hash there: then, beside its empty sketch, its
+    smallest hash is given, which tells it from other such texts but is no part of the sketch. No words give neither.
     """
     import xxhash
 
     words = text.encode().lower().split()
     if not words:
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64), None
     parts = zip(*(words[k:] for k in range(SHINGLE)), strict=False) if len(words) >= SHINGLE else [words]
     raw = b"".join(map(xxhash.xxh64_digest, map(b" ".join, parts)))
     hashes = np.frombuffer(raw, dtype=">u8").astype(np.uint64) >> np.uint64(64 - HASH_BITS)
     kept = np.unique(hashes[hashes < np.uint64((1 << HASH_BITS) // FRACTION)])
-    return kept if len(kept) else hashes.min(keepdims=True)
+    return kept, None if len(kept) else int(hashes.min())
+
+
+def sketch(text: str) -> np.ndarray:
+    return sketched(text)[0]
 
 
-def written(hashes: np.ndarray) -> str:
-    """A sketch as text: twelve hexadecimal digits a hash, ascending."""
-    return hashes.astype(">u8").tobytes().hex() if HASH_BITS == 64 else "".join(f"{h:0{DIGITS}x}" for h in hashes.tolist())
+def written(hashes: np.ndarray, alone: int | None = None) -> str:
+    """A sketch as text: twelve hexadecimal digits a hash, ascending; the smallest hash of an empty sketch after a minus."""
+    return f"-{alone:0{DIGITS}x}" if alone is not None else "".join(f"{h:0{DIGITS}x}" for h in hashes.tolist())
 
 
-def likeness(a: np.ndarray, b: np.ndarray) -> tuple[float, float]:
-    """Estimated similarity (Jaccard) of two texts, and how much of the smaller sketch the larger one contains."""
-    if not len(a) or not len(b):
-        return (1.0, 1.0) if len(a) == len(b) else (0.0, 0.0)
-    shared = len(np.intersect1d(a, b, assume_unique=True))
-    return shared / (len(a) + len(b) - shared), shared / min(len(a), len(b))
+Sketch = tuple[np.ndarray, int | None]
+
+
+def likeness(a: Sketch, b: Sketch) -> tuple[float, float | None]:
+    """Estimated similarity (Jaccard) of two texts, and how much of the smaller sketch the larger one contains.
+
+    Texts without a sketch are alike if their smallest hashes are, or if both have no words; what they contain cannot be
+    told and is null, but for texts without words, whose like contains them.
+    """
+    (own, alone), (other, other_alone) = a, b
+    if not len(own) or not len(other):
+        same = len(own) == len(other) and alone == other_alone
+        told = alone is None and other_alone is None
+        return float(same), float(same) if told else None
+    shared = len(np.intersect1d(own, other, assume_unique=True))
+    return shared / (len(own) + len(other) - shared), shared / min(len(own), len(other))
 
 
 @F.arrow_udf(T.ArrayType(T.LongType()))
@@ -76,9 +90,8 @@ def merged(sketches: Column) -> Column:
 
 
 def containment(part: Column, whole: Column) -> Column:
-    """Estimated share of ``part`` that ``whole`` contains; 1 for a part without words."""
-    shared = F.size(F.array_intersect(part, whole)) / F.size(part)
-    return F.when(F.size(part) == 0, F.lit(1.0)).otherwise(shared)
+    """Estimated share of ``part`` that ``whole`` contains; null where the part has no hash to tell it by."""
+    return F.when(F.size(part) > 0, F.size(F.array_intersect(part, whole)) / F.size(part))
 
 
 def _with_next(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,15 +108,15 @@ def _with_next(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if ended:
                 break
             text = text.as_py() or ""
-            hashes = sketch(text)
+            hashes = sketched(text)
             if before is not None:
                 own_id, own, own_hashes = before
                 gone = len(own) // 2
                 edited = own[: len(own) - gone] + text[:gone]
-                edited_hashes = sketch(edited)
+                edited_hashes = sketched(edited)
                 near, near_next = likeness(own_hashes, edited_hashes), likeness(own_hashes, hashes)
                 digest = hashlib.sha256(edited.encode()).hexdigest()
-                prints = written(own_hashes), written(edited_hashes)
+                prints = written(*own_hashes), written(*edited_hashes)
                 rows.append((own_id, len(own), digest, *prints, near[0], near_next[0], near[1], near_next[1]))
             before, ended = (doc_id.as_py(), text, hashes), ahead.as_py()
         columns = list(zip(*rows, strict=True)) or [[]] * len(schema)
@@ -114,18 +127,22 @@ def compare_with_next(docs: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) ->
     """Fingerprints of each whole text and of its edit, in which the next document's start replaces the second half.
 
     The next document is that of the next id, nulls last; after the last comes the first; equal ids are in order of a
-    hash of their text. A null text is empty. Chunks of ids are sorted on their own; the first row of each is also
-    sent to the chunk before, so a chunk streams through one task, two texts at a time. No rows give no rows.
+    hash of their text. A null text is empty. Chunks of (id, hash of text) are sorted on their own; the first row of each
+    is also sent to the chunk before, so a chunk streams through one task, two texts at a time. Rows without an id and
+    rows of one id are cut into chunks like others. No rows give no rows.
     """
     typed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    chunked, n = ordered_chunks(typed, "doc_id", rows_per_chunk, "chunk")
-    # One row per chunk: the smallest id, and the chunk before, which needs that row too.
-    heads = sorted(tuple(r) for r in chunked.groupBy("chunk").agg(F.min("doc_id")).collect())
-    needed = [(head, heads[k - 1][0]) for k, (_, head) in enumerate(heads)]
-    ahead = docs.sparkSession.createDataFrame(needed, "head long, before int")
-    joined = chunked.join(F.broadcast(ahead), F.col("doc_id").eqNullSafe(F.col("head")), "left")
-    own, other = F.struct(F.col("chunk").alias("to"), F.lit(False).alias("ahead")), F.struct(F.col("before").alias("to"), F.lit(True).alias("ahead"))
-    places = F.explode(F.when(F.col("before").isNull(), F.array(own)).otherwise(F.array(own, other))).alias("place")
-    sent = joined.select("doc_id", "text", places).select("doc_id", "text", "place.ahead", F.col("place.to").alias("to"))
+    chunked, n = ordered_chunks(typed, rows_per_chunk, "chunk")
+    tie = F.xxhash64("text").alias("tie")
+    # One row per chunk: its first pair of id and hash. The chunk before needs a row of that pair too.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", tie)).alias("first")
+    heads = chunked.groupBy("chunk").agg(first).select("chunk", "first.doc_id", "first.tie").orderBy("chunk").collect()
+    needed = [(head["doc_id"], head["tie"], heads[k - 1]["chunk"]) for k, head in enumerate(heads)]
+    ahead = F.broadcast(docs.sparkSession.createDataFrame(needed, "head long, head_tie long, to int"))
+    found = typed.join(ahead, F.col("doc_id").eqNullSafe(F.col("head")) & (F.xxhash64("text") == F.col("head_tie")))
+    # Rows equal in id and text are one text.
+    after = found.groupBy("to").agg(F.min("doc_id").alias("doc_id"), F.first("text").alias("text"))
+    rows = chunked.select("doc_id", "text", F.lit(False).alias("ahead"), F.col("chunk").alias("to"))
+    sent = rows.unionByName(after.select("doc_id", "text", F.lit(True).alias("ahead"), "to"))
     laid = sent.repartitionById(n, F.col("to")).sortWithinPartitions("ahead", F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
     return laid.select("doc_id", "text", "ahead").mapInArrow(_with_next, COMPARED)

@@ -59,27 +59,27 @@ def mixing_plan(
     most: int = 2,
     seed: int = 42,
 ) -> DataFrame:
-    """Each document of (doc_id, text, source, ...) with ``mix_*`` columns; ``mix_copies`` says how often to take it.
+    """Each document of (doc_id, text, source, ...) with ``__mix_*`` columns; ``__mix_copies`` says how often to take it.
 
     Size is the number of words; a null text has none, a null source is a source of its own, and a source without
-    words has rate 0. Rows that are equal in id and text are decided alike. Columns of the input named ``mix_*`` are
+    words has rate 0. Rows that are equal in id and text are decided alike. Columns of the input named ``__mix_*`` are
     replaced; all others pass. No rows give no rows.
     """
-    own = [c for c in docs.columns if not c.startswith("mix_")]
-    sized = docs.select(*own, word_count(F.col("text")).alias("mix_size"))
-    sizes = stored(sized.groupBy("source").agg(F.sum("mix_size").alias("source_size")))
+    own = [c for c in docs.columns if not c.startswith("__mix_")]
+    sized = docs.select(*own, word_count(F.col("text")).alias("__mix_size"))
+    sizes = stored(sized.groupBy("source").agg(F.sum("__mix_size").alias("source_size")))
     # A table of few sources is broadcast after a count, so no source's rows meet; beyond, AQE splits a hot one.
-    targets = small(stored(source_targets(sizes, weights, share, most)), "source").toDF("mix_source", "mix_source_size", "mix_target")
-    joined = sized.join(targets, sized["source"].eqNullSafe(targets["mix_source"])).drop("mix_source")
-    rate = F.when(F.col("mix_source_size") > 0, F.col("mix_target") / F.col("mix_source_size")).otherwise(0.0)
+    targets = small(stored(source_targets(sizes, weights, share, most)), "source").toDF("__mix_source", "__mix_source_size", "__mix_target")
+    joined = sized.join(targets, sized["source"].eqNullSafe(targets["__mix_source"])).drop("__mix_source")
+    rate = F.when(F.col("__mix_source_size") > 0, F.col("__mix_target") / F.col("__mix_source_size")).otherwise(0.0)
     drawn = unit_hash(seed, F.col("doc_id").cast("string"), F.md5(F.col("text")))
-    whole = F.floor("mix_rate")
-    extra = (drawn < F.col("mix_rate") - whole).cast("long")
-    return joined.withColumn("mix_rate", rate).withColumn("mix_copies", whole + extra)
+    whole = F.floor("__mix_rate")
+    extra = (drawn < F.col("__mix_rate") - whole).cast("long")
+    return joined.withColumn("__mix_rate", rate).withColumn("__mix_copies", whole + extra)
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed documents, with the columns of ``docs``: each row as often as its plan says."""
     plan = mixing_plan(docs, **options)
-    copies = F.explode(F.array_repeat(F.lit(True), F.col("mix_copies").cast("int"))).alias("mix_copy")
-    return plan.select("*", copies).select(*[c for c in docs.columns if not c.startswith("mix_")])
+    copies = F.explode(F.array_repeat(F.lit(True), F.col("__mix_copies").cast("int"))).alias("__mix_copy")
+    return plan.select("*", copies).select(*[c for c in docs.columns if not c.startswith("__mix_")])

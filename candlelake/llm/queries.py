@@ -100,10 +100,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mixing_plan(documents(spark, sf_dir))
     return plan.select(
         "doc_id",
-        F.col("mix_size").alias("size"),
-        F.col("mix_source_size").alias("source_size"),
-        F.col("mix_target").alias("target"),
-        (F.col("mix_size") * F.col("mix_copies")).alias("taken"),
+        F.col("__mix_size").alias("size"),
+        F.col("__mix_source_size").alias("source_size"),
+        F.col("__mix_target").alias("target"),
+        (F.col("__mix_size") * F.col("__mix_copies")).alias("taken"),
     )
 
 

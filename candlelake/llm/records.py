@@ -23,14 +23,16 @@ from candlelake.llm.common import ordered_chunks, stored
 from candlelake.llm.tokens import encoder
 
 END_ID = 1
-ROWS_PER_FILE = 4096
+#: Documents and bytes of a file at most (a document's record is never cut), and about how many documents a task gets.
+ROWS_PER_FILE, FILE_BYTES, ROWS_PER_TASK = 4096, 1 << 26, 4096
+FILE_BITS = 32
 #: Fixed values of the usual masking of checksums in record files.
 MASK_TURN, MASK_ADDED = 15, 0xA282EAD8
 HEAD, CHECK, PREFIX, ENTRY = "<QI", "<I", "<qBB", "<QQ"
 HEAD_BYTES, CHECK_BYTES, PREFIX_BYTES = 12, 4, 10
 
-MANIFEST = "file int, path string, first_id long, n_records long, n_tokens long, n_bytes long"
-RECORDS = "file int, record long, doc_id long, n_tokens long, before long, ids_crc32 long"
+MANIFEST = "file long, path string, first_id long, n_records long, n_tokens long, n_bytes long"
+RECORDS = "file long, record long, doc_id long, n_tokens long, before long, ids_crc32 long"
 
 
 def masked(data: bytes) -> int:
@@ -75,45 +77,53 @@ def _qualified(spark: SparkSession, path: str) -> str:
 
 
 def _write_whole(path: str, content: bytes) -> None:
-    """Under a name of its own first, then moved, so that a lost or repeated task leaves no half file."""
     system, place = _filesystem(path)
     system.create_dir(os.path.dirname(place), recursive=True)
-    own = f"{place}.{uuid.uuid4().hex}.tmp"
-    with system.open_output_stream(own) as out:
+    with system.open_output_stream(place) as out:
         out.write(content)
-    system.move(own, place)
 
 
 def write_records(docs: DataFrame, path: str, tokenizer: str, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
     """Encode whole texts (null: empty), append the end id, write files in ascending order of doc_id, nulls last.
 
     Returns the stored manifest, one row per file in order of ``file``. ``path`` is a folder that all executors
-    reach, by any scheme that ``pyarrow.fs`` knows. A file holds about ``rows_per_file`` documents, equal ids together
-    in order of a hash of their text; repeated rows are repeated records. No rows give an empty manifest.
+    reach, by any scheme that ``pyarrow.fs`` knows. Equal ids are in order of a hash of their text; repeated rows are
+    repeated records. A task streams its range of documents and begins a new file after ``rows_per_file`` documents or
+    ``FILE_BYTES``, whichever comes first, so no file and no task's memory grows with the table. Each attempt of a task
+    writes under names of its own, and the manifest names those of the one that counted. No rows give an empty manifest.
     """
     path = _qualified(docs.sparkSession, path)
     typed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chunked, n = ordered_chunks(typed, "doc_id", rows_per_file, "file")
-    laid = chunked.repartitionById(n, F.col("file")).sortWithinPartitions(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
+    chunked, n = ordered_chunks(typed, ROWS_PER_TASK, "range")
+    laid = chunked.repartitionById(n, F.col("range")).sortWithinPartitions(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
+    schema = pa.schema([("file", pa.int64()), ("path", pa.string()), *((c, pa.int64()) for c in ("first_id", "n_records", "n_tokens", "n_bytes"))])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, data, index = encoder(tokenizer), bytearray(), bytearray()
-        file, first, records, tokens = None, None, 0, 0
+        encode, attempt = encoder(tokenizer), uuid.uuid4().hex
         end = np.array([END_ID], dtype="<u4").tobytes()
+        data, index, file, first, tokens = bytearray(), bytearray(), 0, None, 0
+
+        def finished() -> pa.RecordBatch:
+            number = (task << FILE_BITS) + file
+            name = f"{path.rstrip('/')}/part-{task:06d}-{file:06d}-{attempt}.rec"
+            _write_whole(name, bytes(data))
+            _write_whole(f"{name}.idx", bytes(index))
+            row = [number, name, first, len(index) // struct.calcsize(ENTRY), tokens, len(data)]
+            return pa.RecordBatch.from_pylist([dict(zip(schema.names, row, strict=True))], schema=schema)
+
         for batch in batches:
-            for doc_id, text, number in zip(*(batch.column(i) for i in range(3)), strict=True):
-                doc_id, file = doc_id.as_py(), number.as_py()
-                first = doc_id if not records else first
+            for doc_id, text, part in zip(*(batch.column(i) for i in range(3)), strict=True):
+                doc_id, task = doc_id.as_py(), part.as_py()
+                if len(index) >= rows_per_file * struct.calcsize(ENTRY) or len(data) >= FILE_BYTES:
+                    yield finished()
+                    data, index, file, tokens = bytearray(), bytearray(), file + 1, 0
+                first = first if index else doc_id
                 ids = np.frombuffer(encode(text.as_py() or "") + end, dtype="<u4")
                 index += struct.pack(ENTRY, len(data), len(ids))
                 data += framed(payload(doc_id, ids))
-                records, tokens = records + 1, tokens + len(ids)
-        if records:
-            name = f"{path.rstrip('/')}/part-{file:06d}.rec"
-            _write_whole(name, bytes(data))
-            _write_whole(f"{name}.idx", bytes(index))
-            row = {"file": file, "path": name, "first_id": first, "n_records": records, "n_tokens": tokens, "n_bytes": len(data)}
-            yield pa.RecordBatch.from_pylist([row], schema=pa.schema([("file", pa.int32()), ("path", pa.string()), *((c, pa.int64()) for c in list(row)[2:])]))
+                tokens += len(ids)
+        if index:
+            yield finished()
 
     return stored(laid.mapInArrow(write, MANIFEST))
 
@@ -157,7 +167,7 @@ def read_records(manifest: DataFrame) -> DataFrame:
                     doc_id, ids, at = read_record(data, at)
                     out.append((row["file"], len(out), doc_id, len(ids), start, zlib.crc32(ids.tobytes())))
                     start += len(ids)
-                kinds = [pa.int32()] + [pa.int64()] * 5
+                kinds = [pa.int64()] * 6
                 names = ["file", "record", "doc_id", "n_tokens", "before", "ids_crc32"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 

@@ -201,13 +201,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each component, the one with the smallest id (then by a hash of its text), columns as given.
 
-    Rows are told apart by two hashes of id and text; of rows equal in both, one stays.
+    Rows equal in id and text are told apart by a hash of their other columns, so reruns keep the same one; of rows
+    equal in all columns one stays. Two hashes of id and text and that third one stand for a row.
     """
     doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
     one, two = F.xxhash64(doc_id, text), F.xxhash64(text, F.lit("second"), doc_id)
-    keyed = stored(docs.select(doc_id.alias("doc_id"), fingerprint(text).alias("print"), one.alias("__one"), two.alias("__two")))
+    others = [F.col(f"`{name}`") for name in docs.columns if name not in ("doc_id", "text")]
+    three = F.xxhash64(F.to_json(F.struct(*others), {"ignoreNullFields": "false"})) if others else F.lit(0).cast("long")
+    marks = {"__one": one, "__two": two, "__three": three}
+    keyed = stored(docs.select(doc_id.alias("doc_id"), fingerprint(text).alias("print"), *[c.alias(name) for name, c in marks.items()]))
     found = keyed.join(print_components(keyed.select("doc_id", "print")), "print")
-    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "__one", "__two")
-    stay = found.groupBy("component").agg(F.min(place).alias("p")).select("p.__one", "p.__two")
-    tagged = docs.withColumns({"__one": one, "__two": two})
-    return tagged.join(stay, ["__one", "__two"], "left_semi").dropDuplicates(["__one", "__two"]).drop("__one", "__two")
+    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", *marks)
+    stay = found.groupBy("component").agg(F.min(place).alias("p")).select(*[f"p.{name}" for name in marks])
+    return docs.withColumns(marks).join(stay, list(marks), "left_semi").dropDuplicates(list(marks)).drop(*marks)

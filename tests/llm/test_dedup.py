@@ -150,3 +150,10 @@ def test_substring_edges_in_many_chunks(spark, edge_docs, no_docs):
     finally:
         substring.CHUNK_BYTES, substring.BYTES_PER_RANGE, substring.SEGMENTS, substring.MOST_CELL_BITS = before
     assert substring.remove_repeated(no_docs).count() == 0
+
+
+def test_the_survivor_of_equal_texts_is_the_same_in_every_run(spark):
+    rows = [(1, "the same text of some words", f"s{k}", {"k": k}) for k in range(20)] + [(None, "other words stand here now", "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, extra map<string,int>")
+    kept = [sorted(map(str, simhash.drop_near_duplicates(docs.repartition(n)).collect())) for n in (1, 3, 7)]
+    assert kept[0] == kept[1] == kept[2] and len(kept[0]) == 2

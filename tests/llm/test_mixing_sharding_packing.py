@@ -39,23 +39,23 @@ def test_mixing_targets_and_copies(edge_docs):
     assert len(rows) == edge_docs.count()
     sizes = Counter()
     for r in rows:
-        assert r["mix_size"] == len(WORD.findall(r["text"] or ""))
-        sizes[r["source"]] += r["mix_size"]
+        assert r["__mix_size"] == len(WORD.findall(r["text"] or ""))
+        sizes[r["source"]] += r["__mix_size"]
     targets = shares(sizes)
     for r in rows:
-        assert r["mix_source_size"] == sizes[r["source"]]
-        assert r["mix_target"] == pytest.approx(targets[r["source"]])
-        rate = r["mix_target"] / r["mix_source_size"] if r["mix_source_size"] else 0
-        assert math.floor(rate) <= r["mix_copies"] <= math.ceil(rate) <= 2
+        assert r["__mix_source_size"] == sizes[r["source"]]
+        assert r["__mix_target"] == pytest.approx(targets[r["source"]])
+        rate = r["__mix_target"] / r["__mix_source_size"] if r["__mix_source_size"] else 0
+        assert math.floor(rate) <= r["__mix_copies"] <= math.ceil(rate) <= 2
 
 
 def test_mixing_repeats_rows(edge_docs, no_docs, small_docs):
     plan = mixing.mixing_plan(edge_docs)
     mixed = mixing.mix(edge_docs)
     assert mixed.columns == edge_docs.columns
-    assert mixed.count() == plan.agg(F.sum("mix_copies")).first()[0]
+    assert mixed.count() == plan.agg(F.sum("__mix_copies")).first()[0]
     assert mixing.mix(no_docs).count() == 0
-    taken = mixing.mixing_plan(small_docs).agg(F.sum(F.col("mix_size") * F.col("mix_copies")), 1.5 * F.sum("mix_size")).first()
+    taken = mixing.mixing_plan(small_docs).agg(F.sum(F.col("__mix_size") * F.col("__mix_copies")), 1.5 * F.sum("__mix_size")).first()
     assert taken[0] == pytest.approx(taken[1], rel=0.15)
 
 
@@ -190,3 +190,9 @@ def test_encoder_equals_the_library(spark, name):
     texts = [r["text"] or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
     for text in hard + texts + hard:
         assert np.frombuffer(own.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_columns_of_the_input_pass_whatever_their_names(spark):
+    docs = spark.createDataFrame([(k, f"words of text {k}", "a", f"note {k}") for k in range(30)], "doc_id long, text string, source string, mix_note string")
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns and {r["mix_note"] for r in mixed.collect()} <= {f"note {k}" for k in range(30)}

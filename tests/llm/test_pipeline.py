@@ -28,7 +28,7 @@ def test_pipeline_equals_plain_stages(spark):
     for r in plan.collect():
         n = len(tokenizer.encode(r["text"], add_special_tokens=False).ids) + 1
         for at in range(0, n, 1024):
-            wanted[(r["doc_id"], at, min(1024, n - at), n)] += r["mix_copies"]
+            wanted[(r["doc_id"], at, min(1024, n - at), n)] += r["__mix_copies"]
     assert Counter((r["doc_id"], r["start"], r["length"], r["doc_tokens"]) for r in found) == +wanted
     assert max(Counter({s: sum(r["length"] for r in found if r["sequence_id"] == s) for s in {r["sequence_id"] for r in found}}).values()) <= 1024
 
