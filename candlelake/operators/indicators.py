@@ -79,13 +79,26 @@ def _number_rows(
     )
 
 
+def _blocks_of_chunks(parts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The ``_items`` of each chunk: its blocks in order."""
+    return parts.groupBy(*by, CHUNK).agg(F.array_sort(F.collect_list(F.struct(BLOCK, PART))).alias("_items"))
+
+
+def _chunk_parts(parts: DataFrame, by: Sequence[str], merge: Callable[[Column, Column], Column]) -> DataFrame:
+    """``(by, chunk, _part)``: the blocks of each chunk folded into one part."""
+    part_type = parts.schema[PART].dataType.simpleString()
+    join_parts, nothing = fold_step(merge, part_type), F.lit(None).cast(part_type)
+    total = F.aggregate("_items", nothing, lambda acc, entry: join_parts(acc, entry[PART]))
+    return _blocks_of_chunks(parts, by).select(*by, CHUNK, total.alias(PART))
+
+
 def _block_carries(
-    parts: DataFrame, by: Sequence[str], merge: Callable[[Column, Column], Column]
+    parts: DataFrame, by: Sequence[str], merge: Callable[[Column, Column], Column], before: DataFrame | None = None
 ) -> DataFrame:
     """``(by, chunk, block, _part, _carry)`` from one ``_part`` per ``(by, chunk, block)``.
 
     The blocks of a chunk are folded in one row; evenly spaced candles make at most
-    ``CHUNK_CANDLES / BLOCK_ROWS`` of them.
+    ``CHUNK_CANDLES / BLOCK_ROWS`` of them. ``before`` has parts of earlier chunks, whose rows are not there.
     """
     part_type = parts.schema[PART].dataType.simpleString()
     # The keys are swapped on purpose: Spark keeps this small shuffle, and both uses of the parts below
@@ -93,14 +106,10 @@ def _block_carries(
     parts = parts.repartition(CHUNK, *by)
     join_parts = fold_step(merge, part_type)
     nothing = F.lit(None).cast(part_type)
-
-    def items(frame: DataFrame) -> DataFrame:
-        return frame.groupBy(*by, CHUNK).agg(
-            F.array_sort(F.collect_list(F.struct(BLOCK, PART))).alias("_items")
-        )
-
-    total = F.aggregate("_items", nothing, lambda acc, entry: join_parts(acc, entry[PART]))
-    carry = carry_forward(items(parts).select(*by, CHUNK, total.alias(PART)), by, merge)
+    totals = _chunk_parts(parts, by, merge)
+    if before is not None:
+        totals = totals.unionByName(before.select(*by, CHUNK, F.col(PART).cast(part_type).alias(PART)))
+    carry = carry_forward(totals, by, merge)
     # The carry of a chunk joins its blocks as the item before block 0.
     entering = carry.filter(F.col(CARRY).isNotNull()).select(
         *by, CHUNK, F.lit(-1).alias(BLOCK), F.col(CARRY).alias(PART)
@@ -120,7 +129,7 @@ def _block_carries(
         .alias("out"),
     )
     return (
-        items(parts.select(*by, CHUNK, BLOCK, F.col(PART).cast(part_type).alias(PART)).union(entering))
+        _blocks_of_chunks(parts.select(*by, CHUNK, BLOCK, F.col(PART).cast(part_type).alias(PART)).union(entering), by)
         .select(*by, CHUNK, F.inline(F.aggregate("_items", start, with_block)["out"]))
         .filter(F.col(BLOCK) >= 0)
     )
@@ -333,24 +342,48 @@ def _carry_rows(carries: DataFrame) -> DataFrame:
     )
 
 
-def with_indicators(frame: DataFrame, chunk_seconds: ChunkLength = None) -> DataFrame:
-    """Add the seven indicator columns to candles; columns that are not selected are not computed."""
+def _chunked_closes(frame: DataFrame, chunk_seconds: ChunkLength) -> DataFrame:
     closes = frame.withColumn("close", F.col("close").cast("double"))
-    chunked = with_chunk(closes, SERIES_KEY, SERIES_ORDER[0], chunk_seconds)
-    along_chunk = series_window(SERIES_KEY, SERIES_ORDER)
-    delta = F.col("close") - F.lag("close").over(along_chunk)
-    narrow = chunked.select(*SERIES_KEY, *SERIES_ORDER, "close", CHUNK, F.lit(0).alias(RANK))
-    parts = _indicator_parts(
+    return with_chunk(closes, SERIES_KEY, SERIES_ORDER[0], chunk_seconds)
+
+
+def _move() -> Column:
+    return F.col("close") - F.lag("close").over(series_window(SERIES_KEY, SERIES_ORDER))
+
+
+def indicator_blocks(frame: DataFrame, chunk_seconds: ChunkLength = None) -> DataFrame:
+    """``(symbol, interval, chunk, block, _part)``: what indicators need to know of each block of candles."""
+    chunked = _chunked_closes(frame, chunk_seconds)
+    return _indicator_parts(
         _number_rows(
-            narrow,
+            chunked.select(*SERIES_KEY, *SERIES_ORDER, "close", CHUNK, F.lit(0).alias(RANK)),
             SERIES_KEY,
             SERIES_ORDER,
             BLOCK_ROWS,
-            _delta=delta,
-            _ends=F.lead(F.lit(1), BOLLINGER_ROWS - 1).over(along_chunk).isNull(),
+            _delta=_move(),
+            _ends=F.lead(F.lit(1), BOLLINGER_ROWS - 1).over(series_window(SERIES_KEY, SERIES_ORDER)).isNull(),
         )
     )
-    carries = _carry_rows(_block_carries(parts, SERIES_KEY, _merge_parts))
+
+
+def indicator_states(blocks: DataFrame) -> DataFrame:
+    """``(symbol, interval, chunk, _part)`` of ``indicator_blocks``: what later chunks need to know of each chunk."""
+    return _chunk_parts(blocks, SERIES_KEY, _merge_parts)
+
+
+def with_indicators(
+    frame: DataFrame, chunk_seconds: ChunkLength = None, *, blocks: DataFrame | None = None, before: DataFrame | None = None
+) -> DataFrame:
+    """Add the seven indicator columns to candles; columns that are not selected are not computed.
+
+    Where they are stored already, ``blocks`` are the frame's ``indicator_blocks``. ``before`` are the ``indicator_states``
+    of chunks that come before all of the frame's: the scan then goes on from them as if their candles were there.
+    """
+    chunked = _chunked_closes(frame, chunk_seconds)
+    along_chunk = series_window(SERIES_KEY, SERIES_ORDER)
+    delta = _move()
+    parts = indicator_blocks(frame, chunk_seconds) if blocks is None else blocks
+    carries = _carry_rows(_block_carries(parts, SERIES_KEY, _merge_parts, before))
 
     recent = along_chunk.rowsBetween(1 - BOLLINGER_ROWS, Window.currentRow)
     close = F.col("close")

@@ -53,15 +53,35 @@ def dataset_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(place)
 
 
-def replace_parquet_dataset(frame: DataFrame, path: str, partition_columns: Sequence[str] = ()) -> None:
+def dataset_mark(spark: SparkSession, path: str, name: str) -> str | None:
+    """What ``replace_parquet_dataset`` has left with a dataset under this name."""
+    system, place = _place(spark, f"{path.rstrip('/')}/{name}")
+    if not system.exists(place):
+        return None
+    source = system.open(place)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
+
+
+def replace_parquet_dataset(
+    frame: DataFrame, path: str, partition_columns: Sequence[str] = (), *, marks: Mapping[str, str] | None = None
+) -> None:
     """Replace a dataset as a whole: the new one is written beside it and takes its place when complete.
 
-    A job that fails leaves the old dataset as it was, and the frame may read the dataset it replaces.
+    A job that fails leaves the old dataset as it was, and the frame may read the dataset it replaces. ``marks`` are small
+    files that come and go with the dataset; their names begin with an underscore, so that they are not read as data.
+    Between its two renames there is no dataset for a moment: a reader that meets it tries again.
     """
     spark, mark = frame.sparkSession, uuid.uuid4().hex
     fresh, gone = f"{path.rstrip('/')}.new-{mark}", f"{path.rstrip('/')}.old-{mark}"
     write_parquet_dataset(frame, fresh, partition_columns, "errorifexists")
     system, place = _place(spark, path)
+    for name, text in (marks or {}).items():
+        out = system.create(_place(spark, f"{fresh}/{name}")[1])
+        out.write(bytearray(text.encode()))
+        out.close()
     retired = _place(spark, gone)[1]
     had_one = system.exists(place)
     if had_one and not system.rename(place, retired):
@@ -74,6 +94,21 @@ def replace_parquet_dataset(frame: DataFrame, path: str, partition_columns: Sequ
         system.delete(retired, True)
 
 
+def drop_partitions(spark: SparkSession, path: str, partitions: DataFrame) -> int:
+    """Remove the partitions of a dataset that the rows of ``partitions`` name, a column for each level; their number.
+
+    For partitions that a dynamic overwrite has no rows for, and so leaves as they were.
+    """
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    shown = [F.col(name).cast("string").alias(name) for name in partitions.columns]
+    removed = 0
+    for row in partitions.distinct().select(*shown).toLocalIterator():
+        place = "/".join([path.rstrip("/"), *[escape(name, row[name]) for name in partitions.columns]])
+        system, folder = _place(spark, place)
+        removed += bool(system.exists(folder) and system.delete(folder, True))
+    return removed
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

@@ -23,6 +23,7 @@ from candlelake.operators.quality import apply_silver_quality_rules
 from candlelake.operators.scan import latest_by_key, previous_value, sequence_index
 from candlelake.operators.silver import build_silver
 from candlelake.plans import restitution
+from candlelake.plans.incremental import run_gold_incremental, run_silver_incremental
 from candlelake.plans.jobs import BatchConfig, BatchPaths, build_gold, run_batch, run_projection
 from candlelake.plans.serving import (
     SERVING_TABLES,
@@ -35,8 +36,10 @@ from candlelake.plans.serving import (
 )
 from candlelake.plans.templates import run_template
 from candlelake.schema import (
+    BRONZE_PARTITIONS,
     BRONZE_SCHEMA,
     CANDLE_COLUMNS,
+    GOLD_SCHEMA,
     INDICATOR_COLUMNS,
     KAFKA_RAW_SCHEMA,
     KINESIS_RAW_SCHEMA,
@@ -44,6 +47,7 @@ from candlelake.schema import (
 )
 from candlelake.sources.readers import catalog_table, parquet_dataset, parquet_stream
 from candlelake.sources.sinks import write_parquet_dataset, write_table
+from candlelake.streaming.batches import start_bronze_single, start_snapshot
 from candlelake.streaming.jobs import await_all, replay_bronze, start_bronze, start_raw
 from harness import tables as T
 
@@ -373,6 +377,27 @@ def bronze_stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bronze_shown(parquet_dataset(spark, f"{folder}/bronze", BRONZE_SCHEMA))
 
 
+def _single_read(spark: SparkSession, sf_dir: str) -> str:
+    """One query over Raw with both outputs; repeated messages arrive after a restart and meet the stored Bronze."""
+    folder, raw = T.scratch(spark), _raw_kinesis(spark, sf_dir)
+    for phase in (~_is_copy(), _is_copy()):
+        _land(raw.filter(phase), f"{folder}/raw")
+        paths = [f"{folder}/{name}" for name in ("bronze", "rejected", "checkpoint")]
+        await_all([start_bronze_single(spark, f"{folder}/raw", KINESIS_RAW_SCHEMA, *paths, codec="json", available_now=True)])
+    return folder
+
+
+@query("bronze_single_read", BRONZE_VALID_SQL)
+def bronze_single_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = parquet_dataset(spark, f"{_single_read(spark, sf_dir)}/bronze", BRONZE_SCHEMA)
+    return _bronze_shown(stored.select(*BRONZE_SCHEMA.fieldNames()))
+
+
+@query("bronze_single_rejected", BRONZE_REJECTED_SQL)
+def bronze_single_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rejected_shown(spark.read.parquet(f"{_single_read(spark, sf_dir)}/rejected").drop("batch"))
+
+
 @query("bronze_replay", BRONZE_VALID_SQL)
 def bronze_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = T.scratch(spark)
@@ -792,6 +817,40 @@ def latest_cache_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _gold_shown(spark.read.parquet(f"{folder}/latest"))
 
 
+@query(
+    "latest_cache_stream",
+    f"""WITH {GOLD_CTES}
+SELECT {GOLD_SELECT}, {STAMP_SQL} AS updated_at, {EXPIRY} AS expires_at_epoch FROM gold
+QUALIFY row_number() OVER (PARTITION BY symbol, interval ORDER BY open_time DESC) = 1""",
+)
+def latest_cache_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest-value snapshot kept by a stream over Gold, whose first days arrive last."""
+    folder, gold = T.scratch(spark), _gold(spark, sf_dir)
+    late = F.dayofmonth("open_time") <= 5
+    for rows in (~late, late):
+        gold.filter(rows).write.mode("append").parquet(f"{folder}/gold")
+        paths = [f"{folder}/{name}" for name in ("latest", "checkpoint")]
+        options = {"context": CONTEXT, "now": CONTEXT.processed_at(), "available_now": True}
+        await_all([start_snapshot(spark, f"{folder}/gold", GOLD_SCHEMA, *paths, **options)])
+    return _gold_shown(spark.read.parquet(f"{folder}/latest"))
+
+
+@query("layers_incremental", f"WITH {GOLD_CTES} SELECT {GOLD_SELECT} FROM gold WHERE interval = '1h'")
+def layers_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver and Gold of hourly candles kept up to date: first without the last days and some late rows, then with them."""
+    folder = T.scratch(spark)
+    bars = T.bars(spark, sf_dir).filter("interval = '1h'").withColumns(
+        {"year": F.year("open_time"), "month": F.month("open_time"), "day": F.dayofmonth("open_time")}
+    )
+    day = F.dayofmonth("open_time")
+    later = (day > 25) | ((day == 12) & F.col("symbol").isin("CLICK", "VIEW") & (F.hour("open_time") % 5 == 2))
+    for rows in (~later, later):
+        write_parquet_dataset(bars.filter(rows), f"{folder}/bronze", BRONZE_PARTITIONS, "append")
+        run_silver_incremental(spark, f"{folder}/bronze", f"{folder}/silver", f"{folder}/state")
+        run_gold_incremental(spark, f"{folder}/silver", f"{folder}/gold", f"{folder}/state")
+    return _gold_shown(parquet_dataset(spark, f"{folder}/gold", GOLD_SCHEMA))
+
+
 def _batch_run(spark: SparkSession, sf_dir: str) -> BatchPaths:
     """The batch run over stored layers: Bronze to Silver to Gold to serving tables and snapshot.
 
