@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlelake.llm.common import stored
+from candlelake.llm.common import small, stored
 from candlelake.llm.components import connected_components
 
 SHINGLE, SEED, SEGMENTS, SEGMENT_BITS, MOST_BITS = 3, 42, 4, 16, 3
@@ -63,22 +63,20 @@ def _filed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     mask = np.uint64((1 << SEGMENT_BITS) - 1)
     for batch in batches:
         values = batch.column(0).to_numpy()
-        prints, keys, own, exact = values.view(np.uint64), [], [], []
+        prints, keys, own = values.view(np.uint64), [], []
         for start in range(SEGMENTS):
             turned = _turned(prints, start)
             first, second = turned & mask, turned >> np.uint64(SEGMENT_BITS) & mask
             base = np.uint64(start << 2 * SEGMENT_BITS) | first << np.uint64(SEGMENT_BITS)
             keys.append(base | second)
             own.append(values)
-            exact.append(np.ones(len(values), bool))
             for bit in range(SEGMENT_BITS):
                 flag = np.uint64(1 << bit)
                 zero = (second & flag) == 0
                 keys.append(base[zero] | second[zero] | flag)
                 own.append(values[zero])
-                exact.append(np.zeros(int(zero.sum()), bool))
-        columns = [np.concatenate(keys).view(np.int64), np.concatenate(own), np.concatenate(exact)]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "print", "exact"])
+        columns = [np.concatenate(keys).view(np.int64), np.concatenate(own)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "print"])
 
 
 def _turned(prints: np.ndarray, start: np.ndarray | int) -> np.ndarray:
@@ -151,22 +149,63 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=names)
 
 
+def _refiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each fingerprint of a hot key under its two other segments, and under those with one zero bit set.
+
+    A pair that the chain keeps differs there by 3 bits at most, so by one at most in one of the two.
+    """
+    mask = np.uint64((1 << SEGMENT_BITS) - 1)
+    for batch in batches:
+        keys, values = (batch.column(i).to_numpy() for i in range(2))
+        turned, parts, rows = _turned(values.view(np.uint64), keys >> np.int64(2 * SEGMENT_BITS)), [], []
+        for which in (2, 3):
+            segment = turned >> np.uint64(which * SEGMENT_BITS) & mask
+            base = np.uint64(which << SEGMENT_BITS)
+            parts.append(base | segment)
+            rows.append(np.arange(len(values)))
+            for bit in range(SEGMENT_BITS):
+                flag = np.uint64(1 << bit)
+                zero = np.flatnonzero((segment & flag) == 0)
+                parts.append(base | segment[zero] | flag)
+                rows.append(zero)
+        row = np.concatenate(rows)
+        columns = [keys[row], np.concatenate(parts).view(np.int64), values[row]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "part", "print"])
+
+
+def _with_counts(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, bool]:
+    """Rows with ``n``, how many their keys have where those are more than ``BLOCK``, else null; whether there are such.
+
+    Counts are added up before the shuffle and only those of hot keys come back, by a join: no key meets in one task.
+    """
+    hot = stored(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK))
+    if hot.isEmpty():
+        return rows.withColumn("n", F.lit(None).cast("long")), False
+    named = small(hot.select(*[F.col(k).alias(f"__{k}") for k in keys], "n"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"__{k}"))
+    return rows.join(named, same, "left").drop(*[f"__{k}" for k in keys]), True
+
+
 def near_links(prints: DataFrame) -> DataFrame:
     """Links (a, b) that connect all of the distinct fingerprints (print long) at most 3 bits apart.
 
-    Within a key a spanning forest is kept, not every pair. A key with more than ``BLOCK`` fingerprints is cut into
-    blocks by a hash, and each pair of blocks is a group of its own, so no group is larger than two blocks and no
-    link is lost.
+    Within a key a spanning forest is kept, not every pair. The fingerprints of a key with more than ``BLOCK`` are filed
+    again under their other two segments. Where even those keys have more, which takes as many fingerprints within some bits
+    of each other, they are cut into blocks by a hash, and each pair of blocks is a group of its own. So no group is larger
+    than two blocks and no link is lost.
     """
-    filed = prints.mapInArrow(_filed, "key long, print long, exact boolean")
-    counted = filed.select(
-        "key", "print", F.expr("count(1) OVER (PARTITION BY key)").alias("n"), F.expr("bool_or(exact) OVER (PARTITION BY key)").alias("any_exact")
-    ).where("n > 1 AND any_exact")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("print"), blocks).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda c: F.least(own, c) * blocks + F.greatest(own, c))
-    pairs = F.when(F.col("n") > BLOCK, pairs).otherwise(F.array(F.lit(0))).cast("array<long>")
-    grouped = counted.select("key", F.explode(pairs).alias("pair"), "print")
+    filed = prints.mapInArrow(_filed, "key long, print long")
+    counted, hot = _with_counts(filed, ["key"])
+    grouped = counted.where(F.col("n").isNull()).select("key", F.lit(0).cast("long").alias("pair"), "print")
+    if hot:
+        again = counted.where(F.col("n").isNotNull()).select("key", "print").mapInArrow(_refiled, "key long, part long, print long")
+        parts, _ = _with_counts(again, ["key", "part"])
+        blocks = F.coalesce(F.ceil(F.col("n") / BLOCK), F.lit(1)).cast("long")
+        own = F.pmod(F.xxhash64("print"), blocks)
+        pairs = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda c: F.shiftleft("part", 32) + F.least(own, c) * blocks + F.greatest(own, c))
+        grouped = grouped.unionByName(parts.select("key", F.explode(pairs).alias("pair"), "print"))
     ready = grouped.repartition("key", "pair").sortWithinPartitions("key", "pair")
     return ready.mapInArrow(_links, "a long, b long")
 
