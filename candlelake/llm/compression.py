@@ -30,13 +30,13 @@ class Fitted:
     weights: np.ndarray
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, wanted: Column, rows: int = SAMPLE_ROWS, group: str = "lang") -> list[Row]:
-    """Rows (label, text, group) of labels 0 and 1: at most ``rows`` labelled ids each, those with the smallest hashes.
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, wanted: Column, rows: int = SAMPLE_ROWS) -> list[Row]:
+    """Rows (label, text) of labels 0 and 1: at most ``rows`` labelled ids each, those with the smallest hashes.
 
     Only ids where ``wanted`` holds are used; texts longer than ``SAMPLE_BYTES_PER_TEXT`` are left out, and equal
     texts of a label count once. Where ids are repeated with other texts, each label keeps the ``2 * rows`` texts with the
     smallest hashes, so many texts of one id take no room from the other label. The sample, not the corpus, reaches the
-    driver: 240 MB at most, 120 MB where ids are not repeated. Without the column ``group`` all texts are of one.
+    driver: 240 MB at most, 120 MB where ids are not repeated.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
     known = known.where(wanted & F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).distinct()
@@ -44,21 +44,17 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, wanted: Column
     chosen = [known.where(F.col("label") == k).orderBy(key, "doc_id").limit(rows) for k in (0, 1)]
     # Bounded by twice ``rows`` ids.
     ids = F.broadcast(chosen[0].unionByName(chosen[1]).withColumnRenamed("doc_id", "__id"))
-    part = F.coalesce(F.col(group).cast("string"), F.lit("")) if group in docs.columns else F.lit("")
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), part.alias("group"))
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     short = own.where(F.octet_length("text") <= SAMPLE_BYTES_PER_TEXT)
-    found = short.join(ids, F.col("doc_id") == F.col("__id")).groupBy("label", "text").agg(F.min("group").alias("group"))
+    found = short.join(ids, F.col("doc_id") == F.col("__id")).select("label", "text").distinct()
     bounded = [found.where(F.col("label") == k).orderBy(F.xxhash64("text"), "text").limit(2 * rows) for k in (0, 1)]
     return sorted(bounded[0].unionByName(bounded[1]).collect(), key=lambda r: (r["label"], r["text"]))
 
 
-def by_label(rows: list[Row]) -> dict[int, list[str]]:
-    return {k: [r["text"] for r in rows if r["label"] == k] for k in (0, 1)}
-
-
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, wanted: Column, rows: int = SAMPLE_ROWS) -> dict[int, list[str]]:
     """Texts of ``labelled_rows`` by label."""
-    return by_label(labelled_rows(docs, labels, label, wanted, rows))
+    found = labelled_rows(docs, labels, label, wanted, rows)
+    return {k: [r["text"] for r in found if r["label"] == k] for k in (0, 1)}
 
 
 def trained(samples: list[bytes], size: int) -> bytes:

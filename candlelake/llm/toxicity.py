@@ -9,13 +9,13 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlelake.llm.compression import Fitted, by_label, compressors, fit_calibration, labelled_rows, lengths, scored, trained
+from candlelake.llm.compression import Fitted, compressors, fit_calibration, labelled_sample, lengths, scored, trained
 
 ORDINARY, WINDOW, OVERLAP, LEVEL = 65_536, 128, 16, 9
 #: Bytes that a window must save to count.
@@ -45,7 +45,7 @@ def features(fitted: Fitted, text: str) -> np.ndarray:
     saved = a - lengths(both, parts)
     top = np.sort(saved)[-3:]
     size = sum(map(len, parts))
-    return np.array([saved.mean(), (saved >= SAVED).mean(), top.mean(), saved.max(), a.sum() / size, np.log(size)])
+    return np.array([saved.mean(), (saved >= SAVED).mean(), top.mean(), saved.max(), a.sum() / size])
 
 
 def text_counts(texts: list[str]) -> Counter:
@@ -74,58 +74,38 @@ def by_chance(toxic: int, texts: int, share: float) -> float:
     return math.exp(-texts * (found * math.log(found / share) + rest))
 
 
-def distinctive(toxic: list[str], ordinary: list[str], languages: dict[str, str] | None = None) -> list[bytes]:
-    """The words that far more toxic texts have than ordinary ones of the same languages, the most frequent last.
+def distinctive(toxic: list[str], ordinary: list[str]) -> list[bytes]:
+    """The words that far more toxic texts have than ordinary ones, the most frequent last.
 
-    A word counts if it stands out in one language, or in all of them together; how often it must occur follows from the
-    number of words that are tested, not from a share of the texts.
+    How often a word must occur follows from the number of words that are tested, not from a share of the texts. Texts are
+    not told apart by language, so one that has four times its share of the toxic texts shows in its words.
     """
-    languages = languages or {}
-    counts: list[dict[str, Counter]] = [{}, {}]
-    sizes: list[Counter] = [Counter(), Counter()]
-    for k, texts in enumerate((ordinary, toxic)):
-        parts = defaultdict(list)
-        for text in texts:
-            parts[languages.get(text, "")].append(text)
-        counts[k] = {language: text_counts(own) for language, own in parts.items()}
-        sizes[k] = Counter({language: len(own) for language, own in parts.items()})
-    # A language without ordinary texts tells nothing about its words.
-    shares = {x: sizes[1][x] / (sizes[0][x] + sizes[1][x]) for x in sizes[1] if sizes[0][x]}
-    tests: list[tuple[bytes, int, int, float]] = []
-    total: dict[bytes, list[float]] = defaultdict(lambda: [0, 0, 0.0])
-    for language, share in shares.items():
-        plain = counts[0][language]
-        for word, n in counts[1][language].items():
-            tests.append((word, n, n + plain[word], share))
-        for word in counts[1][language].keys() | plain.keys():
-            n, both = counts[1][language][word], counts[1][language][word] + plain[word]
-            sums = total[word]
-            sums[0], sums[1], sums[2] = sums[0] + n, sums[1] + both, sums[2] + both * share
-    if len(shares) > 1:
-        tests += [(word, n, both, expected / both) for word, (n, both, expected) in total.items() if n]
-    found = {
-        word for word, n, both, share in tests
-        if (n + 0.5) * (1 - share) > TIMES * (both - n + 0.5) * share and by_chance(n, both, share) * len(tests) < BY_CHANCE
-    }
-    return sorted(found, key=lambda word: (total[word][0], word))
-
-
-def fit_texts(sample: dict[int, list[str]], languages: dict[str, str] | None = None) -> Fitted:
-    """Fit on texts by label (1 toxic), with the languages of texts. Every third calibrates, the others make the
-    dictionaries; that of toxic words holds all that were found."""
+    if not toxic or not ordinary:
+        return []
+    plain, counts = text_counts(ordinary), text_counts(toxic)
+    share = len(toxic) / (len(toxic) + len(ordinary))
+    found = [
+        word for word, n in counts.items()
+        if (n + 0.5) * (1 - share) > TIMES * (plain[word] + 0.5) * share and by_chance(n, n + plain[word], share) * len(counts) < BY_CHANCE
+    ]
+    return sorted(found, key=lambda word: (counts[word], word))
+
+
+def fit_texts(sample: dict[int, list[str]]) -> Fitted:
+    """Fit on texts by label (1 toxic). Every third calibrates, the others make the dictionaries; that of toxic words
+    holds all that were found."""
     calibrate = {k: texts[::CALIBRATION_SHARE] for k, texts in sample.items()}
     learn = {k: [t for i, t in enumerate(texts) if i % CALIBRATION_SHARE] for k, texts in sample.items()}
     plain = [w for t in learn[0] for w in windows(t)]
     step = max(1, len(plain) // TRAINING_WINDOWS)
     ordinary = trained(plain[::step], ORDINARY)
-    toxic = b" ".join([b"", *distinctive(learn[1], learn[0], languages), b""])
+    toxic = b" ".join([b"", *distinctive(learn[1], learn[0]), b""])
     return fit_calibration((ordinary, ordinary + toxic), LEVEL, True, calibrate, features)
 
 
 def fit(docs: DataFrame, labels: DataFrame, wanted: Column | None = None) -> Fitted:
     """Fit on a bounded sample of labelled documents (label column ``toxic``), of those ``wanted``."""
-    rows = labelled_rows(docs, labels, "toxic", F.lit(True) if wanted is None else wanted)
-    return fit_texts(by_label(rows), {r["text"]: r["group"] for r in rows})
+    return fit_texts(labelled_sample(docs, labels, "toxic", F.lit(True) if wanted is None else wanted))
 
 
 def toxicity(text: Column, fitted: Fitted) -> Column:

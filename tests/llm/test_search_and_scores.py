@@ -6,13 +6,14 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+import zstandard
 from llm_data import SMALL
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from candlelake.llm import ann, fingerprint, quality, queries, records, toxicity
 from candlelake.llm.common import ordered_chunks, scratch
-from candlelake.llm.compression import labelled_rows
+from candlelake.llm.compression import labelled_rows, probability
 
 VECTORS = "vec_id long, embedding array<float>, label string, score string"
 
@@ -199,21 +200,53 @@ def test_rare_toxic_words_are_learned():
     small = made_texts(2, 100, "xx", [("schlimm", 36)])
     plain = made_texts(3, 2000, "en") + made_texts(4, 100, "xx")
     copies = [f"nummer {k} {large[0]} kopie" for k in range(40)]
-    languages = dict.fromkeys(large + copies, "en") | dict.fromkeys(small, "xx") | {t: t[:2] for t in plain}
     wanted = {w.encode() for w, _ in tail} | {b"id10t", b"f*ol", b"schlimm"}
-    found = set(toxicity.distinctive(large + small + copies, plain, languages))
+    found = set(toxicity.distinctive(large + small + copies, plain))
     assert wanted <= found and b"kopie" not in found
     assert len(found - wanted) <= 3
     # The dictionary has room for all words found in two thirds of the texts; a few have too few texts left there.
-    fitted = toxicity.fit_texts({0: plain, 1: large + small}, languages)
+    fitted = toxicity.fit_texts({0: plain, 1: large + small})
     assert sum(b" " + w + b" " in fitted.dictionaries[1] for w in wanted) >= 0.9 * len(wanted)
     assert len(fitted.dictionaries[1]) - len(fitted.dictionaries[0]) > 1024
 
 
-def test_a_language_with_more_toxic_texts_is_no_sign():
-    toxic, plain = made_texts(1, 100, "en") + made_texts(2, 400, "xx"), made_texts(3, 400, "en") + made_texts(4, 30, "xx")
-    languages = {t: t[:2] for t in toxic + plain}
-    assert len(toxicity.distinctive(toxic, plain, languages)) <= 3
+def test_the_score_does_not_see_the_language_column(spark, small_docs):
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    fits = [toxicity.fit(docs, labels) for docs in (small_docs, small_docs.withColumn("lang", F.lit("xx")), small_docs.drop("lang"))]
+    assert all(f.dictionaries == fits[0].dictionaries and (f.weights == fits[0].weights).all() for f in fits)
+
+
+@pytest.mark.parametrize("module", [toxicity, quality])
+def test_scores_equal_a_plain_recomputation(module):
+    """From the fitted dictionaries and weights alone, with zstandard."""
+    good, bad = made_texts(5, 300, "g", [("alpha", 90)]), made_texts(6, 300, "h", [("omega", 200), ("delta", 150)])
+    fitted = module.fit_texts({0: good, 1: bad} if module is toxicity else {0: bad, 1: good})
+    kind = zstandard.DICT_TYPE_RAWCONTENT if fitted.plain else zstandard.DICT_TYPE_AUTO
+    made = [zstandard.ZstdCompressionDict(d, dict_type=kind) for d in fitted.dictionaries]
+
+    def size(k, data):
+        options = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
+        return len(zstandard.ZstdCompressor(level=fitted.level, dict_data=made[k], **options).compress(data))
+
+    for text in [*good[:5], *bad[:5], "", "omega delta", good[0] + " omega " + bad[0]]:
+        if module is toxicity:
+            line = (" " + " ".join(text.split()) + " ").encode()
+            parts = [line[at : at + 128] for at in range(0, max(1, len(line) - 16), 112)]
+            plain = [size(0, p) for p in parts]
+            saved = [a - size(1, p) for a, p in zip(plain, parts, strict=True)]
+            top = sorted(saved)[-3:]
+            found = [np.mean(saved), np.mean([s >= 3 for s in saved]), np.mean(top), max(saved), sum(plain) / sum(map(len, parts))]
+        else:
+            data = text.encode()
+            parts = [data[at : at + 1024] for at in range(0, max(1, len(data)), 1024)]
+            a, b = size(0, data), size(1, data)
+            each = [(size(0, p), size(1, p)) for p in parts]
+            differences = [(x - y) / max(x, y) for x, y in each]
+            n = max(1, len(data))
+            found = [(a - b) / max(a, b), min(2, min(a, b) / n), np.mean(differences), max(differences), min(2, sum(map(min, each)) / n)]
+        raw = fitted.weights[0] + sum(w * (f - c) / s for w, f, c, s in zip(fitted.weights[1:], found, fitted.centre, fitted.spread, strict=True))
+        wanted = 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
+        assert probability(fitted, module.features(fitted, text)) == pytest.approx(wanted, rel=1e-9)
 
 
 def test_records_round_trip(spark, edge_docs, no_docs):
