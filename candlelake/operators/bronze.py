@@ -92,6 +92,30 @@ def build_bronze_valid(
     )
 
 
+def build_bronze_final(
+    decoded: DataFrame, *, watermark_delay: str | None = None, dedup_key: Sequence[str] = DEDUP_KEY
+) -> DataFrame:
+    """Decoded candles, one row per event, of which a closed version counts before an open one; else the first ingested.
+
+    In a stream an event is written once, when the watermark has passed it: later than by ``build_bronze_valid``, but no
+    open candle hides its closed version. Each event is one row of state until then, and copies are reduced to one in
+    every task before the shuffle. In a batch both give one row per event at once.
+    """
+    if not decoded.isStreaming:
+        kept = decoded.filter(F.col("data").isNotNull())
+        copies = [F.col(name) for name in _COPY_COLUMNS if name in decoded.columns]
+        rows = calendar_columns(kept.select("data.*", F.struct(*copies).alias(_POSITION) if copies else F.lit(0).alias(_POSITION)))
+        return first_by(rows, dedup_key, [F.col("is_closed").desc_nulls_last(), F.col("ingested_at"), F.col(_POSITION)]).drop(_POSITION)
+    if watermark_delay is None or "open_time" not in dedup_key:
+        raise ValueError("a stream needs a watermark delay, and open_time in its key, to know when an event is final")
+    rows = decoded.filter(F.col("data").isNotNull()).select("data.*").withWatermark("open_time", watermark_delay)
+    names = rows.columns
+    # The greatest of these is the closed one that was ingested first; the rest of the row decides between equals.
+    rank = F.struct(F.coalesce("is_closed", F.lit(False)), -F.unix_micros("ingested_at"), *[F.col(n) for n in names if n not in dedup_key])
+    best = rows.groupBy(*dedup_key).agg(F.max_by(F.struct(*[n for n in names if n not in dedup_key]), rank).alias("_best"))
+    return calendar_columns(best.select(*dedup_key, "_best.*").select(*names))
+
+
 def build_bronze_rejected(decoded: DataFrame) -> DataFrame:
     """Envelopes whose payload did not decode, with every known envelope column they have."""
     kept = [name for name in ENVELOPE_COLUMNS if name in decoded.columns]

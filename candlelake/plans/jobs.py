@@ -149,6 +149,7 @@ def serving_context(config: JobConfig) -> ServingContext:
     return ServingContext(
         base_interval=config.text("DATAMART_BASE_INTERVAL", "1m"),
         context_intervals=tuple(config.items("DATAMART_CONTEXT_INTERVALS", "15m,1h")),
+        processing_timestamp=config.moment("PROCESSING_TIMESTAMP"),
     )
 
 

@@ -65,6 +65,27 @@ def dataset_mark(spark: SparkSession, path: str, name: str) -> str | None:
         source.close()
 
 
+def replace_mark(spark: SparkSession, path: str, name: str, text: str) -> None:
+    """Put a small file with a dataset, in place of an older one by a single rename that overwrites it."""
+    fresh = f"{path.rstrip('/')}/{name}.{uuid.uuid4().hex}"
+    system, source = _place(spark, fresh)
+    _write_text(system, source, text)
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    kind = jvm.org.apache.hadoop.fs.Options.Rename
+    options = gateway.new_array(kind, 1)
+    options[0] = kind.OVERWRITE
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), spark._jsc.hadoopConfiguration())
+    files.rename(source, _place(spark, f"{path.rstrip('/')}/{name}")[1], options)
+
+
+def _write_text(system, place, text: str) -> None:
+    out = system.create(place)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def replace_parquet_dataset(
     frame: DataFrame, path: str, partition_columns: Sequence[str] = (), *, marks: Mapping[str, str] | None = None
 ) -> None:
@@ -79,9 +100,7 @@ def replace_parquet_dataset(
     write_parquet_dataset(frame, fresh, partition_columns, "errorifexists")
     system, place = _place(spark, path)
     for name, text in (marks or {}).items():
-        out = system.create(_place(spark, f"{fresh}/{name}")[1])
-        out.write(bytearray(text.encode()))
-        out.close()
+        _write_text(system, _place(spark, f"{fresh}/{name}")[1], text)
     retired = _place(spark, gone)[1]
     had_one = system.exists(place)
     if had_one and not system.rename(place, retired):
