@@ -5,16 +5,21 @@ The codec is the caller's choice. JSON needs nothing else; Avro needs Spark's ow
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlelake.schema import CANDLE_CONTRACT, contract_fields, wire_schema
+from candlelake.schema import CANDLE_CONTRACT, contract_defaults, contract_fields, contract_schema, wire_schema
 
 # A registry-framed payload starts with a zero byte and a 4-byte schema id.
 HEADER_BYTES = 5
 MAGIC_BYTE = "00"
 
+# Fixed value: what a later version of a contract may read a field as.
+PROMOTED = (("long", "double"),)
+
 
 def strip_header(value: Column | str, check_magic: bool = False) -> Column:
     """Payload after the registry header; with ``check_magic`` NULL unless the first byte is 0."""
@@ -49,7 +54,11 @@ def decode_json(payload: Column, contract: str = CANDLE_CONTRACT, strict: bool =
     NULL: the text must also be whole as the only item of an array, which nothing but a closing bracket may follow,
     and as a field of an object, which nothing but a closing brace may.
     """
-    text, schema = payload.cast("string"), wire_schema(contract)
+    return _parsed_json(payload, wire_schema(contract), strict)
+
+
+def _parsed_json(payload: Column, schema: T.StructType, strict: bool) -> Column:
+    text = payload.cast("string")
     if not strict:
         return F.from_json(text, schema, {"mode": "PERMISSIVE"})
     items = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(schema))
@@ -106,6 +115,74 @@ def decode_payload(
     return wired.withColumn(output_column, F.when(_complete(decoded, contract), convert(decoded, contract)))
 
 
+def schema_id(value: Column | str) -> Column:
+    """The id of the writer's contract in the registry header; NULL where there is no such header."""
+    value = F.col(value) if isinstance(value, str) else value
+    framed = (F.length(value) >= HEADER_BYTES) & (F.hex(F.substring(value, 1, 1)) == MAGIC_BYTE)
+    return F.when(framed, F.conv(F.hex(F.substring(value, 2, HEADER_BYTES - 1)), 16, 10).cast("bigint"))
+
+
+def _resolved(wire: Column, writer: str, reader: str) -> Column:
+    """A writer's record as the reader's contract has it, NULL where a required field is missing.
+
+    Fields are matched by name; one that the writer did not know takes the reader's default.
+    """
+    written = {name: (kind, nullable) for name, kind, nullable in contract_fields(writer)}
+    defaults, fields = contract_defaults(reader), []
+    for name, kind, nullable in contract_fields(reader):
+        to = wire_schema(reader)[name].dataType
+        if name in written:
+            if written[name][0] != kind and (written[name][0], kind) not in PROMOTED:
+                raise ValueError(f"contract field {name} changes from {written[name][0]} to {kind}")
+            field = wire[name].cast(to)
+        elif name in defaults:
+            field = F.lit(defaults[name]).cast(to)
+        elif nullable:
+            field = F.lit(None).cast(to)
+        else:
+            raise ValueError(f"contract field {name} is required, has no default, and an earlier version does not have it")
+        fields.append((F.timestamp_millis(field) if kind == "timestamp-millis" else field).alias(name))
+    record = F.struct(*fields)
+    complete = wire.isNotNull()
+    for name, (_, nullable) in written.items():
+        if not nullable:
+            complete = complete & wire[name].isNotNull()
+    return F.when(complete, record)
+
+
+def decode_versions(
+    frame: DataFrame,
+    versions: Mapping[int, str],
+    contract: str = CANDLE_CONTRACT,
+    *,
+    value_column: str = "value",
+    output_column: str = "data",
+    strict: bool = False,
+) -> DataFrame:
+    """Add the decoded record of JSON messages that several versions of a contract have written.
+
+    The id in a message's header picks the contract it was written with (``versions``), and its record is resolved to the
+    reader's ``contract``: fields added since are their default, or NULL where they may be, and dropped ones are passed over. A
+    whole number may have become a double. Versions that cannot be resolved are an error here; a message of an unknown id,
+    or without a header, has a NULL record and so goes to the rejects with its envelope. Messages are parsed once, by a
+    schema that has the fields of all versions.
+    """
+    known: dict[str, T.DataType] = {}
+    for writer in versions.values():
+        for field in wire_schema(writer):
+            kind = known.setdefault(field.name, field.dataType)
+            # Where versions differ the wider type reads both.
+            known[field.name] = kind if kind == field.dataType else T.DoubleType()
+    every = T.StructType([T.StructField(name, kind) for name, kind in known.items()])
+    wire, version = _parsed_json(strip_header(value_column), every, strict), schema_id(value_column)
+    names = [name for name in frame.columns if name != output_column]
+    wired = frame.withColumns({"_wire": wire, "_version": version}).select(*names, "_version", F.explode_outer(F.array("_wire")).alias("_wire"))
+    data = F.lit(None).cast(contract_schema(contract))
+    for number, writer in versions.items():
+        data = F.when(F.col("_version") == number, _resolved(F.col("_wire"), writer, contract)).otherwise(data)
+    return wired.select(*names, data.alias(output_column))
+
+
 def encode_payload(
     frame: DataFrame,
     contract: str = CANDLE_CONTRACT,

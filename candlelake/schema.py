@@ -72,6 +72,11 @@ def contract_fields(contract: str) -> list[tuple[str, str, bool]]:
     return fields
 
 
+def contract_defaults(contract: str) -> dict[str, object]:
+    """The fields that have a default other than null, with it: what a record of an earlier version is read with."""
+    return {field["name"]: field["default"] for field in json.loads(contract)["fields"] if field.get("default") is not None}
+
+
 def contract_schema(contract: str = CANDLE_CONTRACT) -> T.StructType:
     """Typed schema of a decoded message. Every field is nullable: decoding never asserts presence."""
     return T.StructType(

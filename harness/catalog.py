@@ -6,6 +6,7 @@ dates are compared as text.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Iterable
 
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlelake.functions.candles import signal_label, signal_score, trend_label
-from candlelake.functions.codecs import decode_payload, encode_payload, strip_header
+from candlelake.functions.codecs import decode_payload, decode_versions, encode_payload, strip_header
 from candlelake.operators.asof import asof_join
 from candlelake.operators.bronze import build_bronze_rejected, build_bronze_valid
 from candlelake.operators.envelope import build_raw, candle_messages
@@ -39,6 +40,7 @@ from candlelake.schema import (
     BRONZE_PARTITIONS,
     BRONZE_SCHEMA,
     CANDLE_COLUMNS,
+    CANDLE_CONTRACT,
     GOLD_SCHEMA,
     INDICATOR_COLUMNS,
     KAFKA_RAW_SCHEMA,
@@ -159,6 +161,36 @@ def payload_decode_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("copy", "data.*")
 
 
+def _next_contract() -> str:
+    """The candle contract with two fields more: one that may be missing, and one with a default."""
+    record = json.loads(CANDLE_CONTRACT)
+    record["fields"] += [{"name": "venue", "type": ["null", "string"], "default": None}, {"name": "scale", "type": "long", "default": 2}]
+    return json.dumps(record)
+
+
+@query(
+    "payload_decode_versions",
+    f"""WITH {T.MESSAGES_SQL}
+SELECT m.number, m.copy, m.decodable AND m.number % 17 <> 5 AS decoded,
+  CASE WHEN m.decodable AND m.number % 17 <> 5 THEN k.close END AS close,
+  CASE WHEN m.decodable AND m.number % 17 <> 5 AND m.number % 2 = 1 THEN 'spot' END AS venue,
+  CASE WHEN m.decodable AND m.number % 17 <> 5 THEN CASE WHEN m.number % 2 = 1 THEN m.number % 7 ELSE 2 END END AS scale
+FROM messages m JOIN event_candles k ON k.n = m.number""",
+)
+def payload_decode_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions of the contract in one topic, read by the newer one, and messages of an id that nobody knows."""
+    number = F.col("number")
+    added = F.concat(F.lit(',"venue":"spot","scale":'), (number % 7).cast("string"), F.lit("}"))
+    newer = F.when(F.col("payload").endswith("}"), F.concat(F.expr("substring(payload, 1, length(payload) - 1)"), added)).otherwise(F.col("payload"))
+    odd = number % 2 == 1
+    header = F.when(number % 17 == 5, "0000000009").when(odd, "0000000002").otherwise("0000000001")
+    value = F.concat(F.unhex(header), F.encode(F.when(odd, newer).otherwise(F.col("payload")), "UTF-8"))
+    sent = T.messages(spark, sf_dir).select("number", "copy", value.alias("value"))
+    decoded = decode_versions(sent, {1: CANDLE_CONTRACT, 2: _next_contract()}, _next_contract())
+    data = F.col("data")
+    return decoded.select("number", "copy", data.isNotNull().alias("decoded"), data["close"].alias("close"), data["venue"].alias("venue"), data["scale"].alias("scale"))
+
+
 EVENT_CANDLES_ORACLE = f"WITH {T.EVENT_CANDLES_SQL} SELECT {CANDLE_SELECT} FROM event_candles"
 
 
@@ -881,18 +913,19 @@ def layer_jobs_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 latest AS (SELECT * FROM gold QUALIFY row_number() OVER (PARTITION BY symbol, interval ORDER BY open_time DESC) = 1),
 days AS (SELECT symbol, event_date, arg_max(close, open_time) AS close FROM gold WHERE interval = '1m' GROUP BY ALL),
 outputs AS (
-  SELECT 'silver' AS output, close, NULL::DOUBLE AS ema_26 FROM usable_bars
-  UNION ALL SELECT 'gold', close, ema_26 FROM gold
-  UNION ALL SELECT 'market_indicators', close, ema_26 FROM gold
-  UNION ALL SELECT 'market_indicators_latest', close, ema_26 FROM latest
-  UNION ALL SELECT 'market_multitimeframe_signals', close, NULL FROM gold WHERE interval = '1m'
-  UNION ALL SELECT 'market_daily_summary', close, NULL FROM days
-  UNION ALL SELECT 'snapshot', close, ema_26 FROM latest
+  SELECT 'silver' AS output, close, NULL::DOUBLE AS ema_26, open_time AS moment FROM usable_bars
+  UNION ALL SELECT 'gold', close, ema_26, open_time FROM gold
+  UNION ALL SELECT 'market_indicators', close, ema_26, open_time FROM gold
+  UNION ALL SELECT 'market_indicators_latest', close, ema_26, open_time FROM latest
+  UNION ALL SELECT 'market_multitimeframe_signals', close, NULL, open_time FROM gold WHERE interval = '1m'
+  UNION ALL SELECT 'market_daily_summary', close, NULL, event_date::TIMESTAMP FROM days
+  UNION ALL SELECT 'snapshot', close, ema_26, open_time FROM latest
 )
-SELECT output, count(*) AS n, round(sum(close), 3) AS closes, round(sum(ema_26), 3) AS averages FROM outputs GROUP BY output""",
+SELECT output, count(*) AS n, round(sum(close), 3) AS closes, round(sum(ema_26), 3) AS averages,
+  sum(round(close * 100)::BIGINT * (epoch_ms(moment) // 1000 % 9973))::BIGINT AS closes_by_time FROM outputs GROUP BY output""",
 )
 def layer_jobs_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every dataset that the batch run writes: its rows and the sums of its prices and averages."""
+    """Every dataset that the batch run writes: its rows, the sums of its prices and averages, and of prices by their time."""
     paths = _batch_run(spark, sf_dir)
     places = {"silver": paths.silver, "gold": paths.gold, "snapshot": paths.snapshot}
     places |= {table.name: f"{paths.serving}/{table.name}" for table in SERVING_TABLES}
@@ -901,10 +934,12 @@ def layer_jobs_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
         stored = spark.read.parquet(path)
         close = "close_price" if "close_price" in stored.columns else "close"
         average = F.col("ema_26") if "ema_26" in stored.columns else F.lit(None).cast("double")
-        one = stored.select(F.lit(name).alias("output"), F.col(close).alias("close"), average.alias("ema_26"))
+        at = F.col("open_time" if "open_time" in stored.columns else "event_date").cast("timestamp").alias("moment")
+        one = stored.select(F.lit(name).alias("output"), F.col(close).alias("close"), average.alias("ema_26"), at)
         outputs = one if outputs is None else outputs.unionByName(one)
     closes, averages = F.round(F.sum("close"), 3).alias("closes"), F.round(F.sum("ema_26"), 3).alias("averages")
-    return outputs.groupBy("output").agg(F.count(F.lit(1)).alias("n"), closes, averages)
+    by_time = F.sum(F.round(F.col("close") * 100).cast("bigint") * (F.unix_seconds("moment") % 9973)).alias("closes_by_time")
+    return outputs.groupBy("output").agg(F.count(F.lit(1)).alias("n"), closes, averages, by_time)
 
 
 @query(

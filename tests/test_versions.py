@@ -1,0 +1,63 @@
+"""Messages of several contract versions in one topic."""
+
+import json
+
+import pytest
+from candle_data import CANDLE
+from pyspark.sql import functions as F
+
+from candlelake.functions.codecs import decode_versions, encode_payload, schema_id
+from candlelake.operators.bronze import build_bronze_rejected
+from candlelake.schema import CANDLE_COLUMNS, CANDLE_CONTRACT, CANDLE_SCHEMA
+
+
+def changed(**fields):
+    """The candle contract with fields replaced, added or (None) removed."""
+    record = json.loads(CANDLE_CONTRACT)
+    own = {f["name"]: f for f in record["fields"]}
+    own.update({name: {"name": name, **field} if field else None for name, field in fields.items()})
+    return json.dumps({**record, "fields": [f for f in own.values() if f]})
+
+
+def sent(spark, contract, number, **extra):
+    frame = spark.createDataFrame([CANDLE], CANDLE_SCHEMA).withColumns({name: F.lit(value) for name, value in extra.items()})
+    return encode_payload(frame, contract, schema_id=number).select("value", F.lit(number).alias("offset"))
+
+
+def test_each_version_is_read_as_the_readers(spark):
+    newer = changed(venue={"type": ["null", "string"], "default": None}, scale={"type": "long", "default": 2}, number_of_trades={"type": "double"})
+    older = changed(taker_buy_base_asset_volume=None)
+    reader = changed(venue={"type": ["null", "string"]}, scale={"type": "long", "default": 2}, number_of_trades={"type": "double"}, taker_buy_base_asset_volume=None)
+    messages = sent(spark, CANDLE_CONTRACT, 1).unionByName(sent(spark, newer, 2, venue="spot", scale=5)).unionByName(sent(spark, older, 70_000))
+    messages = messages.unionByName(sent(spark, CANDLE_CONTRACT, 4)).unionByName(messages.where("offset = 1").select(F.substring("value", 6, 10_000).alias("value"), F.lit(5).alias("offset")))
+    found = decode_versions(messages, {1: CANDLE_CONTRACT, 2: newer, 70_000: older}, reader)
+    rows = {r.offset: r.data for r in found.collect()}
+    assert [(rows[k].venue, rows[k].scale, rows[k].number_of_trades, rows[k].close) for k in (1, 2, 70_000)] == [
+        (None, 2, 17.0, 11.0), ("spot", 5, 17.0, 11.0), (None, 2, 17.0, 11.0),
+    ]
+    # An unknown id and a message without a header are rejected with what is known of their envelope.
+    assert rows[4] is rows[5] is None
+    assert {r.offset for r in build_bronze_rejected(found).collect()} == {4, 5}
+    assert "taker_buy_base_asset_volume" not in rows[1].asDict()
+    # Parsed once, however many versions there are and wherever the record is looked at.
+    stream = spark.range(5).select(F.encode(F.col("id").cast("string"), "UTF-8").alias("value"))
+    seen = decode_versions(stream, {1: CANDLE_CONTRACT, 2: newer}, reader).where("data.close > 1").select("data.open")
+    assert seen._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    ids = messages.select("offset", schema_id("value").alias("id")).collect()
+    assert {r.offset: r.id for r in ids} == {1: 1, 2: 2, 70_000: 70_000, 4: 4, 5: None}
+
+
+def test_a_required_field_of_the_writer_must_be_there(spark):
+    newer = changed(venue={"type": "string", "default": "x"})
+    lacking = sent(spark, CANDLE_CONTRACT, 2)
+    assert decode_versions(lacking, {2: newer}, CANDLE_CONTRACT).first().data is None
+    assert decode_versions(lacking, {2: CANDLE_CONTRACT}, newer).first().data.venue == "x"
+    assert list(decode_versions(lacking, {2: CANDLE_CONTRACT}).first().data.asDict()) == CANDLE_COLUMNS
+
+
+def test_versions_that_cannot_be_resolved_are_refused(spark):
+    messages = sent(spark, CANDLE_CONTRACT, 1)
+    with pytest.raises(ValueError, match="required, has no default"):
+        decode_versions(messages, {1: CANDLE_CONTRACT}, changed(venue={"type": "string"}))
+    with pytest.raises(ValueError, match="changes from double to string"):
+        decode_versions(messages, {1: CANDLE_CONTRACT}, changed(close={"type": "string"}))
