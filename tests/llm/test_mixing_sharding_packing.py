@@ -196,3 +196,53 @@ def test_columns_of_the_input_pass_whatever_their_names(spark):
     docs = spark.createDataFrame([(k, f"words of text {k}", "a", f"note {k}") for k in range(30)], "doc_id long, text string, source string, mix_note string")
     mixed = mixing.mix(docs)
     assert mixed.columns == docs.columns and {r["mix_note"] for r in mixed.collect()} <= {f"note {k}" for k in range(30)}
+
+
+def plain_walk(number, rows, seed):
+    """The permutation in whole numbers: six rounds over a domain of two factors, again until the number is a row's."""
+    a = max(1, math.isqrt(max(rows - 1, 0)) + 1)
+    b = max(1, -(-rows // a))
+    factor, mask = 2_654_435_761, (1 << 31) - 1
+    keys = [((seed + 1) * 1_000_003 + k * 7_368_787) * factor % mask for k in range(6)]
+
+    def mixed(half, key, size):
+        x = ((half ^ key) * factor) & ((1 << 62) - 1)
+        return ((((x ^ (x >> 29)) & mask) * factor) >> 17) % size
+
+    while True:
+        high, low = divmod(number, b)
+        for turn, key in enumerate(keys):
+            if turn % 2:
+                low = (low + mixed(high, key, b)) % b
+            else:
+                high = (high + mixed(low, key, a)) % a
+        number = high * b + low
+        if number < rows:
+            return number
+
+
+@pytest.mark.parametrize("rows", [1, 2, 37, 1000, 70_001])
+def test_places_equal_a_plain_walk(spark, rows):
+    asked = spark.range(0, rows, max(1, rows // 300))
+    found = asked.select("id", sharding.walked(F.col("id"), rows, 42).alias("place")).collect()
+    assert all(r["place"] == plain_walk(r["id"], rows, 42) for r in found)
+
+
+def test_shard_query_equals_plain_places_and_survives_edges(spark, edge_docs, no_docs, tmp_path):
+    for name, docs in (("small", spark.read.parquet(f"{SMALL}/documents.parquet")), ("edges", edge_docs), ("none", no_docs)):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        found = queries.QUERIES["op2_sharding"](spark, f"{tmp_path}/{name}").collect()
+        texts = [(r["doc_id"], (r["text"] or "").encode()) for r in docs.collect()]
+        wanted = Counter((d, len(t) + 1, zlib.crc32(t)) for d, t in texts)
+        assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in found) == wanted
+        places = sorted((r["shard"], r["slot"]) for r in found)
+        assert places == sorted((p % 8, p // 8) for p in range(len(texts)))
+        # In order of id (nulls last), size and checksum, a row's place is that of its number.
+        order = sorted(found, key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["size"], r["text_crc32"]))
+        own = [Counter(), Counter()]
+        for number, r in enumerate(order):
+            place = plain_walk(number, len(texts), 42)
+            key = (r["doc_id"], r["size"], r["text_crc32"])
+            own[0][key, r["shard"], r["slot"]] += 1
+            own[1][key, place % 8, place // 8] += 1
+        assert own[0] == own[1]
