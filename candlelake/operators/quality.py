@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The columns that each rule of the layer is about.
 REQUIRED = (
     "event_id",
     "source",

@@ -2,6 +2,7 @@
 
 from datetime import UTC, datetime, timedelta
 
+# A candle of the contract, and the bars that the golden indicator values belong to.
 CANDLE = {
     "event_id": "binance:BTCUSDC:1m:1700000000000",
     "source": "binance-rest",

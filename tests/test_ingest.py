@@ -31,6 +31,7 @@ from candlelake.schema import (
 )
 from candlelake.sources.readers import kline_polls
 
+# A kline row as the exchange answers it.
 KLINE = [1700000000000, "10.0", "12.0", "9.0", "11.0", "42.0", 1700000059999, "450.0", 17, "20.0", "215.0", "0"]
 STAMP = datetime(2024, 2, 1, 12, 30)
 
