@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from candlelake.functions.candles import signal_label, signal_score, trend_label
 from candlelake.functions.codecs import decode_payload, decode_versions, encode_payload, strip_header
 from candlelake.operators.asof import asof_join
-from candlelake.operators.bronze import build_bronze_rejected, build_bronze_valid
+from candlelake.operators.bronze import build_bronze_final, build_bronze_rejected, build_bronze_valid
 from candlelake.operators.envelope import build_raw, candle_messages
 from candlelake.operators.indicators import ema, with_indicators
 from candlelake.operators.normalize import latest_candles, normalize_klines, parse_klines
@@ -48,7 +48,7 @@ from candlelake.schema import (
     SILVER_COLUMNS,
 )
 from candlelake.sources.readers import catalog_table, parquet_dataset, parquet_stream
-from candlelake.sources.sinks import write_parquet_dataset, write_table
+from candlelake.sources.sinks import StreamSink, write_parquet_dataset, write_table
 from candlelake.streaming.batches import start_bronze_single, start_snapshot
 from candlelake.streaming.jobs import await_all, replay_bronze, start_bronze, start_raw
 from harness import tables as T
@@ -409,6 +409,31 @@ def bronze_stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bronze_shown(parquet_dataset(spark, f"{folder}/bronze", BRONZE_SCHEMA))
 
 
+CLOSED_SQL = f"""WITH {T.VERSIONS_SQL}
+SELECT {CANDLE_SELECT}, event_date::VARCHAR AS event_date, year(open_time)::INT AS year, month(open_time)::INT AS month,
+  day(open_time)::INT AS day FROM versions
+QUALIFY row_number() OVER (PARTITION BY event_id, open_time ORDER BY is_closed DESC, ingested_at) = 1"""
+
+
+@query("bronze_closed_wins", CLOSED_SQL)
+def bronze_closed_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of versions, the open ones first: each event comes out once, closed if it ever was.
+
+    Two candles of the next year move the watermark past all others, and wait in the state themselves.
+    """
+    folder, versions = T.scratch(spark), T.versions(spark, sf_dir).select(*CANDLE_COLUMNS)
+    newest = versions.orderBy(F.desc("open_time"), "event_id", "ingested_at").limit(1)
+    later = [newest.withColumn("open_time", F.col("open_time") + F.make_interval(days=F.lit(k))) for k in (365, 366)]
+    data = F.struct(*CANDLE_COLUMNS).alias("data")
+    with T.stateful_partitions(spark):
+        for phase in (versions.filter("not is_closed"), versions.filter("is_closed"), *later):
+            phase.select(data).write.mode("append").parquet(f"{folder}/versions")
+            stream = parquet_stream(spark, f"{folder}/versions", phase.select(data).schema)
+            final = build_bronze_final(stream, watermark_delay="60 days")
+            await_all([StreamSink.dataset(f"{folder}/bronze", f"{folder}/checkpoint").start(final, available_now=True)])
+    return _bronze_shown(parquet_dataset(spark, f"{folder}/bronze", BRONZE_SCHEMA))
+
+
 def _single_read(spark: SparkSession, sf_dir: str) -> str:
     """One query over Raw with both outputs; repeated messages arrive after a restart and meet the stored Bronze."""
     folder, raw = T.scratch(spark), _raw_kinesis(spark, sf_dir)
