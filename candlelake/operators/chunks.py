@@ -104,7 +104,8 @@ def measured_chunks(
         return at.groupBy(*by, starts[level].alias(_START)).agg(F.count(F.lit(1)).alias("n"))
 
     cells = counted(narrow, 0)
-    if cells.where(F.col("n") > rows).isEmpty():
+    # Cells of up to twice the rows may be chunks as they are; only beyond are they worth the counting and the joins.
+    if cells.where(F.col("n") > 2 * rows).isEmpty():
         return Chunks(by, seconds)
     levels, deepest = [stored(cells)], _deepest(narrow, seconds)
     while len(levels) <= deepest:
