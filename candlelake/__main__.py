@@ -18,7 +18,9 @@ if __name__ == "__main__" and not __package__:
 
 from candlelake.config import JobConfig
 from candlelake.plans import jobs
+from candlelake.plans.daily import DAILY, run_daily_incremental
 from candlelake.plans.incremental import run_gold_incremental, run_silver_incremental
+from candlelake.plans.serving import SERVING_TABLES
 from candlelake.schema import CANDLE_CONTRACT, KAFKA_RAW_SCHEMA, KINESIS_RAW_SCHEMA
 from candlelake.sources.compaction import compact_raw, past_hours
 from candlelake.sources.readers import kafka_stream, kinesis_stream
@@ -144,12 +146,16 @@ def silver_table(spark: SparkSession, config: JobConfig) -> None:
 
 
 def gold(spark: SparkSession, config: JobConfig) -> None:
-    """Gold, whole or with ``STATE_PATH`` from the days that changed on, and from it the serving tables."""
+    """Gold, whole or with ``STATE_PATH`` from the days that changed on, and from it the serving tables.
+
+    With ``STATE_PATH`` the daily summary follows the changed files as well.
+    """
     paths = config.text("SILVER_INPUT_PATH"), config.text("GOLD_OUTPUT_PATH")
     base, context = config.text("TRADING_GOLD_OUTPUT_BASE_PATH"), jobs.serving_context(config)
     if config.values.get("STATE_PATH"):
         run_gold_incremental(spark, *paths, config.text("STATE_PATH"))
-        jobs.run_serving(spark, paths[1], base, context)
+        jobs.run_serving(spark, paths[1], base, context, [table for table in SERVING_TABLES if table is not DAILY])
+        run_daily_incremental(spark, paths[1], base, config.text("STATE_PATH"), context)
     else:
         jobs.run_gold_and_serving(spark, *paths, base, context)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +14,7 @@ from candlelake.operators.indicators import calculate_indicators
 from candlelake.operators.scan import ChunkLength
 from candlelake.operators.silver import build_silver
 from candlelake.plans.restitution import latest_snapshot, merge_snapshot
-from candlelake.plans.serving import SERVING_TABLES, ServingContext, materialize_serving_tables
+from candlelake.plans.serving import SERVING_TABLES, ServingContext, ServingTable, materialize_serving_tables
 from candlelake.schema import (
     BRONZE_SCHEMA,
     GOLD_PARTITIONS,
@@ -66,11 +66,15 @@ def run_gold_table(
 
 
 def run_serving(
-    spark: SparkSession, gold_path: str, output_base_path: str, context: ServingContext
+    spark: SparkSession,
+    gold_path: str,
+    output_base_path: str,
+    context: ServingContext,
+    tables: Iterable[ServingTable] = SERVING_TABLES,
 ) -> None:
     """Serving tables from the stored Gold dataset, which all of them scan instead of recomputing it."""
     gold, context = parquet_dataset(spark, gold_path, GOLD_SCHEMA), replace(context, measured=True)
-    for table, frame in materialize_serving_tables(gold, context):
+    for table, frame in materialize_serving_tables(gold, context, tables):
         replace_parquet_dataset(frame, under(output_base_path, table.name), table.partition_columns)
 
 

@@ -24,6 +24,7 @@ from candlelake.operators.quality import apply_silver_quality_rules
 from candlelake.operators.scan import latest_by_key, previous_value, sequence_index
 from candlelake.operators.silver import build_silver
 from candlelake.plans import restitution
+from candlelake.plans.daily import run_daily_incremental
 from candlelake.plans.incremental import run_gold_incremental, run_silver_incremental
 from candlelake.plans.jobs import BatchConfig, BatchPaths, build_gold, run_batch, run_projection
 from candlelake.plans.serving import (
@@ -41,6 +42,7 @@ from candlelake.schema import (
     BRONZE_SCHEMA,
     CANDLE_COLUMNS,
     CANDLE_CONTRACT,
+    GOLD_PARTITIONS,
     GOLD_SCHEMA,
     INDICATOR_COLUMNS,
     KAFKA_RAW_SCHEMA,
@@ -908,6 +910,17 @@ def layers_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _gold_shown(parquet_dataset(spark, f"{folder}/gold", GOLD_SCHEMA))
 
 
+@query("serving_daily_incremental", DAILY_SQL)
+def serving_daily_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily summary of minute candles from stored parts: two days and every seventh minute of others arrive late."""
+    folder, gold = T.scratch(spark), _gold(spark, sf_dir).filter("interval = '1m'")
+    later = F.dayofmonth("open_time").isin(3, 17) | (F.minute("open_time") % 7 == 3)
+    for rows in (~later, later):
+        write_parquet_dataset(gold.filter(rows), f"{folder}/gold", GOLD_PARTITIONS, "append")
+        run_daily_incremental(spark, f"{folder}/gold", f"{folder}/serving", f"{folder}/state", CONTEXT)
+    return shown(spark.read.parquet(f"{folder}/serving/market_daily_summary"), DAILY_VALUES, ["event_date"])
+
+
 def _batch_run(spark: SparkSession, sf_dir: str) -> BatchPaths:
     """The batch run over stored layers: Bronze to Silver to Gold to serving tables and snapshot.
 
