@@ -26,10 +26,13 @@ from pyspark.sql import functions as F
 from candlelake.llm.common import worker_store
 
 WINDOW = 13
-CHUNK_BYTES = 4_000_000
+#: A chunk is what one call has in memory: so many bytes, or as many as give a list so many windows, up to a most.
+CHUNK_BYTES, LIST_WINDOWS, WINDOW_BYTES, MOST_CHUNK_BYTES = 4_000_000, 64, 6, 32_000_000
+#: Beyond so many, chunks share shuffle partitions; a task takes its chunks one after the other.
+MOST_PARTITIONS = 65_536
 CELLS_PER_BYTE = 0.7  # about four for each window: a word takes six bytes
 #: A row of the sketch has about this many segments, of this many bits of cells; only at the most do segments multiply.
-SEGMENTS, LEAST_CELL_BITS, MOST_CELL_BITS = 256, 12, 26
+SEGMENTS, LEAST_CELL_BITS, MOST_CELL_BITS = 256, 12, 28
 #: Key ranges: this many, or one for so many bytes of text if that makes more.
 RANGES, BYTES_PER_RANGE = 64, 16_000_000
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -69,12 +72,18 @@ class Size:
     bits: int
     ranges: int
 
+    @property
+    def partitions(self) -> int:
+        return min(self.chunks, MOST_PARTITIONS)
+
     @classmethod
     def of(cls, text_bytes: int) -> Size:
         cells = max(1, int(text_bytes * CELLS_PER_BYTE))
         bits = min(MOST_CELL_BITS, max(LEAST_CELL_BITS, (cells // SEGMENTS).bit_length()))
         ranges = max(RANGES, -(-text_bytes // BYTES_PER_RANGE))
-        return cls(max(1, -(-text_bytes // CHUNK_BYTES)), -(-cells >> bits) or 1, bits, ranges)
+        segments = -(-cells >> bits) or 1
+        chunk_bytes = min(MOST_CHUNK_BYTES, max(CHUNK_BYTES, segments * LIST_WINDOWS * WINDOW_BYTES))
+        return cls(max(1, -(-text_bytes // chunk_bytes)), segments, bits, ranges)
 
 
 class Windows:
@@ -180,15 +189,20 @@ def _cells_of(size: Size) -> Callable:
     return send
 
 
-def _often(key: tuple, table: pa.Table) -> pa.Table:
-    """Add one segment's lists, counting up to 2, and answer each."""
-    lists = [_undone(blob).astype(np.int64) for blob in table["cells"].to_pylist()]
-    counts = np.zeros(1 + max(int(cells[-1]) for cells in lists), np.uint8)
-    for cells in lists:
-        counts[cells] = np.minimum(counts[cells] + 1, 2)
-    bits = [np.packbits(counts[cells] > 1).tobytes() for cells in lists]
-    n = table.num_rows
-    return pa.table({"chunk": table["chunk"], "kind": pa.array([0] * n, pa.int32()), "part": table["part"], "bits": pa.array(bits, pa.binary())})
+def _often_in(size: Size) -> Callable:
+    def often(key: tuple, table: pa.Table) -> pa.Table:
+        """Add one segment's lists, counting up to 2, and answer each; one list is unpacked at a time."""
+        counts = np.zeros(1 << size.bits, np.uint8)
+        for blob in table["cells"]:
+            cells = _undone(blob.as_py())
+            counts[cells] = np.minimum(counts[cells] + 1, 2)
+        bits = [np.packbits(counts[_undone(blob.as_py())] > 1).tobytes() for blob in table["cells"]]
+        n = table.num_rows
+        return pa.table(
+            {"chunk": table["chunk"], "kind": pa.array([0] * n, pa.int32()), "part": table["part"], "bits": pa.array(bits, pa.binary())}
+        )
+
+    return often
 
 
 def _keys_of(size: Size) -> Callable:
@@ -262,10 +276,10 @@ def remove_repeated(docs: DataFrame) -> DataFrame:
     chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(size.chunks)).cast("int").alias("__chunk")
     typed = docs.select(*names).withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
     # One exchange of the texts serves all three passes.
-    laid = typed.select("*", chunk).repartition(size.chunks, "__chunk")
+    laid = typed.select("*", chunk).repartition(size.partitions, "__chunk")
     by_chunk = laid.groupBy("__chunk")
     cells = by_chunk.applyInArrow(_cells_of(size), "chunk int, part int, cells binary")
-    often = cells.groupBy("part").applyInArrow(_often, ANSWER)
+    often = cells.groupBy("part").applyInArrow(_often_in(size), ANSWER)
     keys = by_chunk.cogroup(often.groupBy("chunk")).applyInArrow(_keys_of(size), "chunk int, part int, one binary, two binary, ids binary")
     earlier = keys.groupBy("part").applyInArrow(_earlier, ANSWER)
     answers = often.unionByName(earlier).groupBy("chunk")

@@ -137,10 +137,13 @@ def test_substring_edges_in_many_chunks(spark, edge_docs, no_docs):
     # One passage in every document, repeats inside one document, and a window that ends where a text ends.
     rows += [(100 + k, f"{words(13)} own{k} {words(13, 500)}") for k in range(40)] + [(50, words(13, 900) + " " + words(13, 900))]
     frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_words", F.lit("given")).withColumn("key", F.lit(1))
-    before = substring.CHUNK_BYTES, substring.BYTES_PER_RANGE, substring.SEGMENTS, substring.MOST_CELL_BITS
+    names = ("CHUNK_BYTES", "BYTES_PER_RANGE", "SEGMENTS", "MOST_CELL_BITS", "LIST_WINDOWS", "MOST_PARTITIONS")
+    before = tuple(getattr(substring, name) for name in names)
     try:
-        for sizes in (before, (20_000, 5_000, 4, 16), (50_000, 50_000, 1, 13)):
-            substring.CHUNK_BYTES, substring.BYTES_PER_RANGE, substring.SEGMENTS, substring.MOST_CELL_BITS = sizes
+        # The last one has chunks that grow by the number of segments and share three partitions.
+        for sizes in (before, (20_000, 5_000, 4, 16, 0, 99), (50_000, 50_000, 1, 13, 0, 99), (1_000, 5_000, 4, 13, 8, 3)):
+            for name, size in zip(names, sizes, strict=True):
+                setattr(substring, name, size)
             found = substring.remove_repeated(frame).collect()
             got = Counter((r["doc_id"], r["n_words"], r["n_removed"], " ".join((r["text"] or "").encode().decode().split(" "))) for r in found if r["n_removed"])
             wanted = Counter((d, n, g, k) for (d, _), (n, g, k) in zip(rows, plain_cut(rows), strict=True) if g)
@@ -148,10 +151,23 @@ def test_substring_edges_in_many_chunks(spark, edge_docs, no_docs):
             kept = Counter((r["doc_id"], r["text"]) for r in found if not r["n_removed"])
             assert kept == Counter(row for row, (_, g, _) in zip(rows, plain_cut(rows), strict=True) if not g)
     finally:
-        substring.CHUNK_BYTES, substring.BYTES_PER_RANGE, substring.SEGMENTS, substring.MOST_CELL_BITS = before
+        for name, size in zip(names, before, strict=True):
+            setattr(substring, name, size)
     assert substring.remove_repeated(no_docs).count() == 0
 
 
+def test_parts_of_substring_removal_stay_bounded_as_the_text_grows():
+    for text_bytes in (0, 1, 10**6, 10**9, 10**11, 10**12, 10**14):
+        size = substring.Size.of(text_bytes)
+        assert size.segments << size.bits >= substring.CELLS_PER_BYTE * text_bytes
+        assert size.bits <= substring.MOST_CELL_BITS and size.partitions <= substring.MOST_PARTITIONS
+        chunk_bytes = text_bytes / size.chunks
+        assert chunk_bytes <= substring.MOST_CHUNK_BYTES
+        if text_bytes >= 10**9:
+            # Windows in the list that a chunk sends to a segment.
+            assert chunk_bytes / substring.WINDOW_BYTES / size.segments > (15 if text_bytes == 10**14 else 63)
+
+
 def test_the_survivor_of_equal_texts_is_the_same_in_every_run(spark):
     rows = [(1, "the same text of some words", f"s{k}", {"k": k}) for k in range(20)] + [(None, "other words stand here now", "x", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, extra map<string,int>")
