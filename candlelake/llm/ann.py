@@ -1,7 +1,6 @@
 """Approximate nearest neighbours by an inverted multi-index.
 
-Two codebooks quantise the two halves of a vector, so a few hundred centroids make tens of thousands of cells. For a
-query, pairs of centroids are taken from a heap by their summed distance until their cells hold enough vectors; all
+Two codebooks quantise the two halves of a vector, so a thousand centroids make up to a million cells. For a query, pairs of centroids are taken from a heap by their summed distance until their cells hold enough vectors; all
 those are ranked by the exact distance. How many are enough is measured: a sample of vectors is compared with all
 others, and the depth is the one at which the wanted share of their true neighbours lies in the cells taken.
 """
@@ -21,7 +20,7 @@ from candlelake.llm.common import stored
 
 #: The codebooks' sample: this many vectors, those with the smallest hashes of their ids, and this many bytes.
 SAMPLE_ROWS, SAMPLE_BYTES = 20_000, 32_000_000
-MOST_CENTROIDS, VECTORS_PER_CELL, ROUNDS = 256, 4, 12
+MOST_CENTROIDS, VECTORS_PER_CELL, ROUNDS = 1024, 4, 12
 BLOCK = 4096
 #: Vectors compared with all others to measure the depth, and the share of true neighbours to reach.
 PROBES, RECALL = 64, 0.95
@@ -63,18 +62,21 @@ def matrix(column: pa.Array) -> np.ndarray:
 def visited(near: np.ndarray, other: np.ndarray, counts: np.ndarray, wanted: int) -> list[int]:
     """Cells in order of summed distance to their two centroids until they hold ``wanted`` vectors; empty ones pass."""
     one, two = np.argsort(near, kind="stable"), np.argsort(other, kind="stable")
-    a, b = near[one], other[two]
-    heap, seen, cells, found = [(a[0] + b[0], 0, 0)], {(0, 0)}, [], 0
+    a, b = near[one].tolist(), other[two].tolist()
+    held = counts.reshape(len(one), len(two))[np.ix_(one, two)]
+    heap, cells, found = [(a[0] + b[0], 0, 0)], [], 0
     while heap and found < wanted:
-        _, i, j = heapq.heappop(heap)
-        cell = int(one[i]) * len(two) + int(two[j])
-        if counts[cell]:
-            cells.append(cell)
-            found += int(counts[cell])
-        for x, y in ((i + 1, j), (i, j + 1)):
-            if x < len(a) and y < len(b) and (x, y) not in seen:
-                seen.add((x, y))
-                heapq.heappush(heap, (a[x] + b[y], x, y))
+        _, i, j = heap[0]
+        if held[i, j]:
+            cells.append(int(one[i]) * len(two) + int(two[j]))
+            found += int(held[i, j])
+        # Each pair enters once: from its left neighbour, and the first of a row from the first of the row before.
+        if j + 1 < len(b):
+            heapq.heapreplace(heap, (a[i] + b[j + 1], i, j + 1))
+        else:
+            heapq.heappop(heap)
+        if not j and i + 1 < len(a):
+            heapq.heappush(heap, (a[i + 1] + b[0], i + 1, 0))
     return cells
 
 
@@ -141,9 +143,9 @@ def depth(placed: DataFrame, one: np.ndarray, two: np.ndarray, counts: np.ndarra
     place = F.row_number().over(Window.partitionBy("probe").orderBy("distance", "vec_id"))
     true = near.withColumn("place", place).where((F.col("place") <= k) & (F.col("distance") < float("inf"))).select("probe", "cell").collect()
     half, needed = one.shape[1], []
-    sums = squared(probes[:, :half], one)[:, :, None] + squared(probes[:, half:], two)[:, None, :]
-    for probe, row in enumerate(sums.reshape(len(probes), -1)):
-        order = np.argsort(row, kind="stable")
+    near, other = squared(probes[:, :half], one), squared(probes[:, half:], two)
+    for probe in range(len(probes)):
+        order = np.argsort((near[probe][:, None] + other[probe][None, :]).ravel(), kind="stable")
         held = np.empty(len(order), np.int64)
         held[order] = np.cumsum(counts[order])
         needed += [held[r["cell"]] for r in true if r["probe"] == probe]
@@ -225,14 +227,15 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 10, recall: floa
     Rows with the query's own id are no candidates; repeated query ids count once, repeated candidates stay repeated;
     ties go to the smaller id; a query gets all candidates where they are fewer. Rows that ``usable`` leaves out take no
     part on either side. Every vector is indexed. A group of vectors has ``BLOCK`` at most, by a hash where one cell has
-    more, and is repeated for every ``BLOCK`` queries that visit it. The table of cells has 65,536 rows at most.
+    more, and is repeated for every ``BLOCK`` queries that visit it. The table of cells has
+    ``MOST_CENTROIDS`` squared rows at most, about a million.
     """
     sound = usable(vectors)
     one, two = fit(sound, seed)
     placed = stored(sound.mapInArrow(_assigned(one, two), "vec_id long, embedding array<double>, cell int"))
     counts = np.zeros(len(one) * len(two), np.int64)
-    for row in placed.groupBy("cell").count().collect():
-        counts[row["cell"]] = row["count"]
+    filled = placed.groupBy("cell").count().toArrow()
+    counts[filled["cell"].to_numpy()] = filled["count"].to_numpy()
     wanted = max(k + 1, depth(placed, one, two, counts, k, recall))
     first, parts = groups_of_cells(counts)
     asked = usable(queries, one.shape[1] + two.shape[1]).dropDuplicates(["vec_id"])

@@ -40,6 +40,18 @@ def test_recall_of_the_query(spark):
     assert hits >= 0.9 * 10 * len(found)
 
 
+def test_cells_are_walked_in_order_of_their_summed_distance():
+    rng = np.random.default_rng(11)
+    for one, two in ((1, 1), (1, 7), (9, 1), (12, 15)):
+        near, other = rng.random(one), rng.random(two)
+        counts = rng.integers(0, 3, one * two)
+        sums = (near[:, None] + other[None, :]).ravel()
+        filled = [int(cell) for cell in np.argsort(sums) if counts[cell]]
+        for wanted in (0, 1, 10, int(counts.sum()), int(counts.sum()) + 5):
+            before = np.cumsum([0, *counts[filled]])[:-1]
+            assert ann.visited(near, other, counts, wanted) == [c for c, n in zip(filled, before, strict=False) if n < wanted]
+
+
 def test_search_edges(spark):
     nan, inf = float("nan"), float("inf")
     good = [(k, [float(k % 3), 1.0, 0.5 * (k % 2)]) for k in range(12)]
